@@ -1,0 +1,223 @@
+"""Feature preparation: splits, top values, truncation, drops, weights, ML vectors.
+
+Everything that is learned (lists, drops, types) is learned on the model rows and is a
+small Python value that is then applied to validation and scoring rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
+
+from quotelift.functions import fold_of, hash_fraction, is_blank
+from quotelift.operators.columns import replace_columns, string_columns
+from quotelift.operators.profile import cardinality, null_share
+from quotelift.plans import fixed_values as fv
+from quotelift.session import materialize
+
+
+def hash_split(
+    df: DataFrame,
+    cols: Sequence[str],
+    salt: str = fv.SPLIT_SALT,
+    fraction: float = fv.VALID_FRACTION,
+    fn: str = "xxhash64",
+    out: str = "is_valid",
+) -> DataFrame:
+    """Flag the validation rows by a hash of the key columns; no shuffle, repeatable."""
+    return df.withColumn(out, hash_fraction(cols, salt, fn) < F.lit(float(fraction)))
+
+
+def kfold(
+    df: DataFrame, key: str, folds: int, seed: int, fn: str = "xxhash64", out: str = "fold"
+) -> DataFrame:
+    return df.withColumn(out, fold_of(key, folds, seed, fn))
+
+
+def stratified_sample(
+    df: DataFrame, label: str, fractions: Mapping[int, float], seed: int
+) -> DataFrame:
+    return df.sampleBy(label, fractions=dict(fractions), seed=seed)
+
+
+def sample_complement(df: DataFrame, sample: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not in the sample."""
+    return df.join(sample.select(key), key, "left_anti")
+
+
+def top_values(df: DataFrame, col: str, n: int) -> DataFrame:
+    """The ``n`` most frequent filled values; equal counts are ordered by value."""
+    return (
+        df.filter(~is_blank(col))
+        .groupBy(F.col(col).alias("value"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .orderBy(F.desc("n_rows"), "value")
+        .limit(n)
+    )
+
+
+def truncate_column(df: DataFrame, col: str, keep: Sequence[str], other: str = fv.OTHERS) -> DataFrame:
+    """Values outside the list, NULL included, become ``other``."""
+    kept = F.when(F.col(col).isin(list(keep)), F.col(col)).otherwise(other)
+    return replace_columns(df, {col: kept})
+
+
+def truncate_fit(
+    df: DataFrame,
+    cols: Sequence[str],
+    threshold: int = fv.HIGH_CARDINALITY,
+    n: int = fv.TOP_VALUES,
+) -> dict[str, list[str]]:
+    """Lists of kept values for columns with more than ``threshold`` distinct values.
+
+    One job for all columns. Only the lists (``n`` values each) reach the driver.
+    """
+    if not cols:
+        return {}
+    values = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+                    for c in cols
+                ]
+            )
+        )
+    ).filter(F.col("value").isNotNull())
+    counts = materialize(
+        values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows")), "values"
+    )
+    sizes = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    big = [r["column_name"] for r in sizes.filter(F.col("n_distinct") > threshold).collect()]
+    if not big:
+        return {}
+    # row_number() <= n is cut to n rows per column in each task before the shuffle
+    best_first = W.partitionBy("column_name").orderBy(F.desc("n_rows"), "value")
+    best = (
+        counts.filter(F.col("column_name").isin(big) & ~is_blank("value"))
+        .withColumn("place", F.row_number().over(best_first))
+        .filter(F.col("place") <= n)
+    )
+    lists: dict[str, list[str]] = {c: [] for c in cols if c in big}
+    for r in best.orderBy("column_name", "place").collect():
+        lists[r["column_name"]].append(r["value"])
+    return lists
+
+
+def truncate_apply(
+    df: DataFrame,
+    lists: Mapping[str, Sequence[str]],
+    other: str = fv.OTHERS,
+    numeric: Sequence[str] = (),
+) -> DataFrame:
+    """Apply learned lists in one projection; columns used as numbers are left alone."""
+    present = [c for c in lists if c in df.columns and c not in numeric]
+    return replace_columns(
+        df,
+        {c: F.when(F.col(c).isin(list(lists[c])), F.col(c)).otherwise(other) for c in present},
+    )
+
+
+def truncate_high_cardinality(df: DataFrame, col: str, n: int, other: str = fv.OTHERS) -> DataFrame:
+    """Learn the top values of one column and apply them to the same table."""
+    keep = [r["value"] for r in top_values(df, col, n).collect()]
+    return truncate_column(df, col, keep, other)
+
+
+def null_heavy(df: DataFrame, cols: Sequence[str], share: float = fv.NULL_DROP_SHARE) -> list[str]:
+    """Columns whose NULL share, rounded to four places, is above the limit."""
+    rows = null_share(df, cols).filter(F.round("null_share", 4) > share).collect()
+    return sorted(r["column_name"] for r in rows)
+
+
+def constant_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    """Columns with at most one distinct non-NULL value."""
+    rows = cardinality(df, cols).filter(F.col("n_distinct") <= 1).collect()
+    return sorted(r["column_name"] for r in rows)
+
+
+def all_null_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    """Numeric columns without any value; the imputer cannot fill them."""
+    if not cols:
+        return []
+    found = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+    return [c for c in cols if found[c] == 0]
+
+
+@dataclass
+class FeaturePlan:
+    """What feature preparation learned on the model rows."""
+
+    categorical: list[str]
+    numeric: list[str]
+    lists: dict[str, list[str]] = field(default_factory=dict)
+    dropped_null: list[str] = field(default_factory=list)
+    dropped_constant: list[str] = field(default_factory=list)
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        dropped = df.drop(*self.dropped_null)
+        return truncate_apply(dropped, self.lists).drop(*self.dropped_constant)
+
+
+def fit_features(
+    model: DataFrame, candidates: Mapping[str, bool], toggles: Mapping[str, bool] | None = None
+) -> FeaturePlan:
+    """Learn null-heavy drops, truncation lists and constant drops on the model rows.
+
+    ``candidates`` switches features on or off; type decides categorical or numeric.
+    Toggles ``PP_R04``, ``PP_R05``, ``PP_R06`` switch the three steps.
+    """
+    on = {"PP_R04": True, "PP_R05": True, "PP_R06": True, **(toggles or {})}
+    enabled = [c for c, use in candidates.items() if use and c in model.columns]
+    text = set(string_columns(model))
+    nulls = null_heavy(model, enabled) if on["PP_R04"] and enabled else []
+    categorical = [c for c in enabled if c in text and c not in nulls]
+    numeric = [c for c in enabled if c not in text and c not in nulls]
+    lists = truncate_fit(model, categorical) if on["PP_R05"] else {}
+    plan = FeaturePlan(categorical, numeric, lists, nulls)
+    if on["PP_R06"] and categorical:
+        plan.dropped_constant = constant_columns(truncate_apply(model, lists), categorical)
+        plan.categorical = [c for c in categorical if c not in plan.dropped_constant]
+    return plan
+
+
+def class_weights(
+    df: DataFrame,
+    label: str,
+    mode: str | bool = "auto",
+    threshold: float = fv.CLASS_WEIGHT_THRESHOLD,
+    out: str = "weight",
+) -> DataFrame:
+    """Weight positives by ``(1-r)/r`` if the positive rate ``r`` is low or when forced.
+
+    The rate is a scalar subquery, so the weights stay part of one lazy plan.
+    """
+    if mode is False:
+        return df.withColumn(out, F.lit(1.0))
+    rate = df.agg(F.avg(F.col(label).cast("double")).alias("rate")).scalar()
+    wanted = F.lit(True) if mode is True else rate < threshold
+    positive = wanted & (F.col(label) == 1)
+    return df.withColumn(out, F.when(positive, F.try_divide(1.0 - rate, rate)).otherwise(1.0))
+
+
+def preprocess_stages(categorical: Sequence[str], numeric: Sequence[str]) -> Pipeline:
+    """Index, one-hot encode, impute and assemble into ``features_vec``."""
+    idx = [f"{c}__idx" for c in categorical]
+    ohe = [f"{c}__ohe" for c in categorical]
+    imp = [f"{c}__imp" for c in numeric]
+    stages = []
+    if idx:
+        stages.append(
+            StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep")
+        )
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=False))
+    if imp:
+        stages.append(Imputer(inputCols=list(numeric), outputCols=imp, strategy="mean"))
+    stages.append(VectorAssembler(inputCols=ohe + imp, outputCol="features_vec"))
+    return Pipeline(stages=stages)
