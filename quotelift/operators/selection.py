@@ -25,7 +25,7 @@ from quotelift.operators.features import (
 from quotelift.operators.ordering import exact_quantiles
 from quotelift.operators.profile import features_long
 from quotelift.plans import fixed_values as fv
-from quotelift.session import materialize
+from quotelift.session import materialize, scratch_path
 
 # Settings of the three importance methods.
 METHODS = {
@@ -68,6 +68,19 @@ def _classifier(method: str, settings: Mapping, seed: int):
     raise ValueError(f"unknown method {method!r}")
 
 
+def _without_summary(model):
+    """The model read back from storage.
+
+    A fresh classifier keeps its training summary and with it the session, which cannot
+    be shipped to executors once the session has observed metrics.
+    """
+    if not getattr(model, "hasSummary", False):
+        return model
+    path = scratch_path(SparkSession.active(), "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def _importances(model) -> list[float]:
     values = model.coefficients if hasattr(model, "coefficients") else model.featureImportances
     return [abs(float(v)) for v in values.toArray()]
@@ -106,7 +119,7 @@ def fs_methods(
         valid_vec = prepared.transform(valid).select(key, "label", "features_vec").cache()
         slots = slot_features(train_vec)
         for method, settings in (methods or METHODS).items():
-            model = _classifier(method, settings, seed).fit(train_vec)
+            model = _without_summary(_classifier(method, settings, seed).fit(train_vec))
             scored = model.transform(valid_vec).select(
                 key,
                 "label",

@@ -774,8 +774,12 @@ oracle(
 
 def binned(c: str) -> str:
     filled = f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM v_features))"
-    edges = f"(SELECT list_distinct(quantile_cont({c}, {[i / 10 for i in range(1, 10)]})) FROM v_features)"
-    return f"CAST(len(list_filter({edges}, lambda e: {filled} > e)) AS VARCHAR)"
+    edges = " UNION ".join(
+        f"SELECT quantile_cont({c}, {i / 10}) AS e FROM v_features" for i in range(1, 10)
+    )
+    return f"""SELECT '{c}', CAST(count(e) FILTER (WHERE v > e) AS VARCHAR), label
+        FROM (SELECT quote_id, label, {filled} AS v FROM v_features), ({edges})
+        GROUP BY quote_id, label"""
 
 
 oracle(
@@ -784,8 +788,8 @@ oracle(
     f"""--with
     long AS (SELECT 'priority' AS feature, priority AS x, label AS y FROM v_features
              UNION ALL SELECT 'office', office, label FROM v_features
-             UNION ALL SELECT 'premium', {binned("premium")}, label FROM v_features
-             UNION ALL SELECT 'days', {binned("days")}, label FROM v_features),
+             UNION ALL {binned("premium")}
+             UNION ALL {binned("days")}),
     n AS (SELECT count(*) AS n FROM v_features),
     xy AS (SELECT feature, x, y, count(*) / (SELECT n FROM n) AS p FROM long GROUP BY ALL),
     px AS (SELECT feature, x, sum(p) AS px FROM xy GROUP BY ALL),
@@ -971,7 +975,7 @@ oracle(
              FROM (SELECT count(*) AS n FROM v_scored), range(1, 101) t(k))
     SELECT k_pct, top_n, count(*) FILTER (WHERE r <= top_n) AS n_overlap,
            count(*) FILTER (WHERE r <= top_n) / top_n AS overlap_share
-    FROM grid, worst GROUP BY ALL""",
+    FROM grid, worst GROUP BY k_pct, top_n""",
 )
 oracle(
     "rank_correlation",

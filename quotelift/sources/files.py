@@ -144,6 +144,8 @@ def write_delivery(df: DataFrame, folder: str, name: Column) -> None:
         df.withColumn("delivery", name)
         .write.partitionBy("delivery")
         .options(**CSV_OPTIONS)
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .mode("errorifexists")
         .csv(folder)
     )
