@@ -2,6 +2,7 @@ from quotelift.functions.cleaning import (
     as_date,
     blank_to_null,
     is_blank,
+    looks_numeric,
     make_date,
     normalize_key,
     parse_date,
@@ -17,6 +18,7 @@ __all__ = [
     "fold_of",
     "hash_fraction",
     "is_blank",
+    "looks_numeric",
     "make_date",
     "normalize_key",
     "parse_date",

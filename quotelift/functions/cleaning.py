@@ -1,10 +1,14 @@
 """Column expressions for cleaning text, numbers, dates and join keys.
 
-All casts are ``try_`` variants: dirty values become NULL, also under ANSI mode.
+All casts are ``try_`` variants: dirty values become NULL, also under ANSI mode. A
+failing cast or date parse is slow (it raises inside the JVM), so values whose shape
+cannot parse are ruled out by a pattern first.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,12 +60,21 @@ def parse_number_us(c: Column | str, scale: int, precision: int = 17) -> Column:
     return F.round(value, scale).try_cast(f"decimal({precision},{scale})")
 
 
+def _date_shape(layout: str) -> str:
+    """Pattern for the date part of a layout and the character behind it."""
+    plain = layout.replace("'", "")
+    date, after = plain[:10], plain[10:11]
+    return "^" + re.sub("[yMd]", r"\\d", date) + (after or "$")
+
+
 def parse_date(c: Column | str) -> Column:
-    """First layout of :data:`DATE_FORMATS` that parses, else a plain cast, else NULL."""
+    """A plain cast, else the first layout of :data:`DATE_FORMATS` that parses, else NULL."""
     text = _col(c).cast("string")
-    direct = text.try_cast("date")
-    by_layout = [F.try_to_timestamp(text, F.lit(f)).cast("date") for f in DATE_FORMATS]
-    return F.coalesce(direct, *by_layout)
+    by_layout = [
+        F.when(text.rlike(_date_shape(f)), F.try_to_timestamp(text, F.lit(f))).cast("date")
+        for f in DATE_FORMATS
+    ]
+    return F.coalesce(text.try_cast("date"), *by_layout)
 
 
 def as_date(df: DataFrame, c: str) -> Column:
@@ -72,9 +85,19 @@ def as_date(df: DataFrame, c: str) -> Column:
     return parse_date(c)
 
 
+def whole_number(text: Column) -> Column:
+    """Integer part of number text as ``bigint``, NULL for any other text.
+
+    Doubles printed with an exponent (``9.2890001E9``) are resolved too.
+    """
+    return F.when(
+        text.rlike(r"^[+-]?\d+(\.\d*)?$"), F.substring_index(text, ".", 1).try_cast("bigint")
+    ).when(text.rlike(r"^-?\d+\.\d+E-?\d+$"), text.try_cast("double").try_cast("bigint"))
+
+
 def make_date(year: Column | str, month: Column | str, day: Column | str) -> Column:
     """Date from three parts; impossible dates and non-numbers give NULL."""
-    y, m, d = (normalize_key(p).try_cast("int") for p in (year, month, day))
+    y, m, d = (whole_number(F.trim(_col(p).cast("string"))) for p in (year, month, day))
     text = F.when(
         y.between(1, 9999) & m.between(1, 12) & d.between(1, 31),
         F.format_string("%04d-%02d-%02d", y, m, d),
@@ -85,12 +108,13 @@ def make_date(year: Column | str, month: Column | str, day: Column | str) -> Col
 def normalize_key(c: Column | str) -> Column:
     """Comparable text form of a join key.
 
-    Numbers go through ``bigint``, so leading zeros and a fraction disappear; doubles
-    printed with an exponent (``9.2890001E9``) are resolved too. Other text, also
-    product codes like ``5D`` or ``1E5``, is only trimmed. Blanks become NULL.
+    Numbers go through ``bigint``, so leading zeros and a fraction disappear. Other text,
+    also product codes like ``5D`` or ``1E5``, is only trimmed. Blanks become NULL.
     """
     text = F.trim(_col(c).cast("string"))
-    whole = F.regexp_extract(text, r"^([+-]?\d+)(?:\.\d*)?$", 1).try_cast("bigint")
-    printed_double = F.when(text.rlike(r"^-?\d+\.\d+E-?\d+$"), text.try_cast("double"))
-    number = F.coalesce(whole, printed_double.try_cast("bigint"))
-    return F.coalesce(number.cast("string"), F.nullif(text, F.lit("")))
+    return F.coalesce(whole_number(text).cast("string"), F.nullif(text, F.lit("")))
+
+
+def looks_numeric(c: Column | str) -> Column:
+    """False for text that cannot be a number: no digit, and not a NaN or infinity."""
+    return _col(c).rlike(r"\d|(?i)nan|inf")

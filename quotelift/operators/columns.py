@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelift.functions import blank_to_null, is_blank, parse_number_us
+from quotelift.functions import blank_to_null, is_blank, looks_numeric, parse_number_us
 
 INTEGER_TEXT = r"^-?\d+$"
 
@@ -63,7 +63,8 @@ def infer_numeric_types(df: DataFrame, protect: Sequence[str] = ()) -> dict[str,
         # as bigint: digits only, with no spaces around, and in range
         whole = F.col(c).rlike(INTEGER_TEXT) & F.col(c).try_cast("bigint").isNotNull()
         aggs.append(F.count_if(filled & ~whole).alias(f"{c}__int"))
-        aggs.append(F.count_if(filled & F.col(c).try_cast("double").isNull()).alias(f"{c}__dbl"))
+        real = looks_numeric(c) & F.col(c).try_cast("double").isNotNull()
+        aggs.append(F.count_if(filled & ~real).alias(f"{c}__dbl"))
     bad = df.agg(*aggs).first()
     types = {c: "bigint" for c in cols if bad[f"{c}__int"] == 0}
     types.update({c: "double" for c in cols if c not in types and bad[f"{c}__dbl"] == 0})

@@ -44,35 +44,36 @@ def join_retention(
     the suffix. A row whose first key is set but another part is NULL cannot match and
     is dropped.
 
-    Left rows with a NULL key would all hash to one task, so they get a spread value
-    that no right row carries. Whether the right side is broadcast is left to Spark,
-    which knows its size.
+    Left rows with a NULL key never match but would all hash to one task, so for the
+    shuffle they carry a spread value in place of the key. Whether the right side is
+    broadcast is left to Spark, which knows its size.
     """
     payload = [c for c in right.columns if c not in right_keys]
     names = [f"_k{i}" for i in range(len(left_keys))]
+    held = F.struct(*payload, F.lit(1).alias("_hit"))
     right_side = (
         right.withColumns({n: normalize_key(k) for n, k in zip(names, right_keys)})
-        .dropna(subset=names)
-        .groupBy(*names)
-        .agg(F.min_by(F.struct(*[F.col(c) for c in payload], F.lit(1).alias("_hit")), F.struct(*right_order)).alias("_p"))
-        .select(
-            *[F.col(n).alias(f"_r{n}") for n in names],
-            F.lit(0).alias("_r_spread"),
-            *[F.col("_p")[c].alias(f"{c}{suffix}") for c in payload],
-        )
+        .groupBy(*[F.col(n).alias(f"_r{n}") for n in names])
+        .agg(F.min_by(held, F.struct(*right_order)).alias("_p"))
     )
     keyed = left.withColumns({n: normalize_key(k) for n, k in zip(names, left_keys)})
-    any_null = F.greatest(*[F.col(n).isNull() for n in names], F.lit(False))
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD)).cast("int") + 1
-    keyed = keyed.withColumn("_spread", F.when(any_null, spread).otherwise(0))
-    condition = F.col("_spread") == F.col("_r_spread")
+    complete = F.lit(True)
     for n in names:
+        complete = complete & F.col(n).isNotNull()
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD)).cast("string")
+    keyed = keyed.withColumns(
+        {
+            "_complete": complete,
+            "_first": F.when(complete, F.col(names[0])).otherwise(F.concat(F.lit("null "), spread)),
+        }
+    )
+    condition = F.col("_complete") & (F.col("_first") == F.col("_r_k0"))
+    for n in names[1:]:
         condition = condition & (F.col(n) == F.col(f"_r{n}"))
-    matched = F.col("_r_spread").isNotNull()
     return (
         keyed.join(right_side, condition, "left")
-        .filter(F.col(names[0]).isNull() | matched)
-        .select(*left.columns, *[f"{c}{suffix}" for c in payload])
+        .filter(F.col(names[0]).isNull() | F.col("_p").isNotNull())
+        .select(*left.columns, *[F.col("_p")[c].alias(f"{c}{suffix}") for c in payload])
     )
 
 

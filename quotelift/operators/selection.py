@@ -25,7 +25,7 @@ from quotelift.operators.features import (
 from quotelift.operators.ordering import exact_quantiles
 from quotelift.operators.profile import features_long
 from quotelift.plans import fixed_values as fv
-from quotelift.session import materialize, scratch_path
+from quotelift.session import materialize, scratch_path, spread
 
 # Settings of the three importance methods.
 METHODS = {
@@ -104,7 +104,8 @@ def fs_methods(
     spark: SparkSession = df.sparkSession
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR")
     base = materialize(
-        df.select(key, F.col(label).cast("int").alias("label"), *categorical, *numeric), "select"
+        spread(df.select(key, F.col(label).cast("int").alias("label"), *categorical, *numeric)),
+        "select",
     )
     importances, quality = [], []
     for seed in seeds:

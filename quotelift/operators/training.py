@@ -19,7 +19,7 @@ from quotelift.operators.evaluation import average_precision
 from quotelift.operators.features import kfold, preprocess_stages, truncate_apply
 from quotelift.operators.ordering import local_rank
 from quotelift.plans import fixed_values as fv
-from quotelift.session import materialize
+from quotelift.session import materialize, spread
 
 
 @dataclass(frozen=True)
@@ -71,9 +71,8 @@ def cv_grid(
     spark = df.sparkSession
     combos = list(combos or grid())
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
-    with_fold = materialize(
-        kfold(df, key, folds, seed).select("fold", label, "weight", *categorical, *numeric), "folds"
-    )
+    folded = kfold(df, key, folds, seed).select("fold", label, "weight", *categorical, *numeric)
+    with_fold = materialize(spread(folded), "folds")
     areas: dict[str, list[float]] = {c.model_id: [] for c in combos}
     for i in range(folds):
         train, valid = with_fold.filter(F.col("fold") != i), with_fold.filter(F.col("fold") == i)
@@ -118,8 +117,9 @@ def train_final(
     Preprocessing does not depend on the grid point and is fitted once. Also returns the
     training quality ``model_id, ap, auc_pr`` for the overfit gap.
     """
-    prepared = preprocess_stages(categorical, numeric).fit(df)
-    vectors = prepared.transform(df).select(label, "weight", "features_vec").cache()
+    rows = materialize(spread(df.select(label, "weight", *categorical, *numeric)), "train")
+    prepared = preprocess_stages(categorical, numeric).fit(rows)
+    vectors = prepared.transform(rows).select(label, "weight", "features_vec").cache()
     models, scored = {}, None
     for combo in combos or grid():
         model = _gbt(combo, iterations, label, seed).fit(vectors)

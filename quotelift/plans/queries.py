@@ -758,8 +758,13 @@ def cluster_nulls_drop(spark, sf):
     return cluster.cluster_nulls(df, ["days"], "drop")
 
 
+def entities(spark, sf) -> DataFrame:
+    """Broker profile, computed once: fitting and applying both read it."""
+    return materialize(view(spark, sf, "v_entities"), "entities")
+
+
 def scaled(spark, sf, strategy: str) -> DataFrame:
-    df = view(spark, sf, "v_entities")
+    df = entities(spark, sf)
     return rounded(cluster.scale(df, ENTITY_COLS, strategy), *ENTITY_COLS)
 
 
@@ -786,13 +791,13 @@ def kmeans_sweep(spark, sf):
 
 @query
 def kmeans_fit(spark, sf):
-    df = view(spark, sf, "v_entities")
+    df = entities(spark, sf)
     fit = cluster.kmeans_fit(df, ENTITY_COLS, 3, "log1p_standard", restarts=3)
     return fit.assigned.select("broker_id", "cluster")
 
 
 def fixed_clusters(spark, sf) -> DataFrame:
-    return view(spark, sf, "v_entities").withColumn(
+    return entities(spark, sf).withColumn(
         "cluster", (F.col("broker_id") % 3).cast("string")
     )
 

@@ -58,3 +58,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even partitions for frames that an iterative fit reads many times.
+
+    One shuffle up front; a frame read from few or uneven files would otherwise keep
+    most cores idle in every iteration.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
