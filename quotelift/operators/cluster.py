@@ -17,6 +17,7 @@ from quotelift.operators.profile import features_long
 from quotelift.plans import fixed_values as fv
 from quotelift.session import materialize
 
+CONSTANT = 1e-12  # relative deviation under which a feature counts as constant
 SCALINGS = ("standard", "log1p_standard", "robust")
 
 
@@ -84,7 +85,12 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], strategy: str) -> Scaler:
             *[F.stddev_pop(v).alias(f"{c}__s") for c, v in x.items()],
         ).first()
         found = {c: (row[f"{c}__m"], row[f"{c}__s"]) for c in cols}
-    return Scaler(strategy, {c: (found[c][0], found[c][1] or 1.0) for c in cols})
+
+    def width_of(center: float, width: float) -> float:
+        # rounding leaves a constant feature with a tiny deviation instead of none
+        return 1.0 if width <= CONSTANT * abs(center) else width
+
+    return Scaler(strategy, {c: (found[c][0], width_of(*found[c])) for c in cols})
 
 
 def scale(df: DataFrame, cols: Sequence[str], strategy: str) -> DataFrame:

@@ -456,25 +456,21 @@ def join_retention_3key(spark, sf):
 
 @query
 def join_audit(spark, sf):
-    quotes = view(spark, sf, "v_quotes")
+    """Rows before the join, after it, and with a segment; counted in one pass."""
     brokers = view(spark, sf, "v_broker").select("broker_id", "gwp")
-    joined = joins.join_retention(
-        quotes, brokers, ["broker_id"], ["broker_id"], "_resumo", [F.col("gwp")]
+    quotes, n_quotes = counted(view(spark, sf, "v_quotes"))
+    joined, n_joined = counted(
+        joins.join_retention(
+            quotes, brokers, ["broker_id"], ["broker_id"], "_resumo", [F.col("gwp")]
+        )
     )
     segmented = catalog.segment(joined, "channel", "quote_type", "segment")
-    seen, first = counted(quotes)
-    joined, second = counted(
-        joins.join_retention(seen, brokers, ["broker_id"], ["broker_id"], "_resumo", [F.col("gwp")])
-    )
-    with_segment, third = counted(
-        catalog.segment(joined, "channel", "quote_type", "segment").filter(F.col("segment").isNotNull())
-    )
-    consume(with_segment)
-    del segmented
+    known, n_known = counted(segmented.filter(F.col("segment").isNotNull()))
+    consume(known)
     rows = [
-        ("quotes", first.get["rows"]),
-        ("joined", second.get["rows"]),
-        ("with_segment", third.get["rows"]),
+        ("quotes", n_quotes.get["rows"]),
+        ("joined", n_joined.get["rows"]),
+        ("with_segment", n_known.get["rows"]),
     ]
     return spark.createDataFrame(rows, "step string, n_rows bigint")
 
