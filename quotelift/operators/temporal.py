@@ -15,14 +15,21 @@ from pyspark.sql import functions as F
 from quotelift.functions import as_date, status_key
 
 
-def latest_of(df: DataFrame, ts: str, tie: str) -> Column:
+def latest_of(df: DataFrame, ts: str, tie: str, columns: Sequence[str] | None = None) -> Column:
     """Aggregate: the newest row as a struct; NULL times lose, the larger tie wins."""
-    return F.max_by(F.struct(*df.columns), F.struct(F.col(ts), F.col(tie)))
+    return F.max_by(F.struct(*(columns or df.columns)), F.struct(F.col(ts), F.col(tie)))
 
 
-def latest_snapshot(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
-    """One row per key: the snapshot with the greatest time."""
-    return df.groupBy(key).agg(latest_of(df, ts, tie).alias("_row")).select("_row.*")
+def latest_snapshot(
+    df: DataFrame, key: str, ts: str, tie: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per key: the snapshot with the greatest time.
+
+    The row travels through the shuffle as one struct that Spark cannot prune; name the
+    ``columns`` to carry if only some are needed.
+    """
+    newest = latest_of(df, ts, tie, columns)
+    return df.groupBy(key).agg(newest.alias("_row")).select("_row.*")
 
 
 def reference_time(df: DataFrame, ts: str) -> Column:
@@ -79,11 +86,17 @@ def first_status_entry(
 
 
 def latest_with_entries(
-    df: DataFrame, key: str, ts: str, tie: str, status: str, values: Mapping[str, str]
+    df: DataFrame,
+    key: str,
+    ts: str,
+    tie: str,
+    status: str,
+    values: Mapping[str, str],
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Latest snapshot and entry times per key in a single shuffle."""
+    """Latest snapshot (with the given columns) and entry times per key in one shuffle."""
     both = df.groupBy(key).agg(
-        latest_of(df, ts, tie).alias("_row"),
+        latest_of(df, ts, tie, columns).alias("_row"),
         *[entry_time(status, ts, v).alias(o) for o, v in values.items()],
     )
     return both.select("_row.*", *values)
@@ -113,16 +126,21 @@ def days_between(df: DataFrame, end: str, start: str, out: str) -> DataFrame:
     return df.withColumn(out, F.datediff(F.col(end), F.col(start)))
 
 
+def touched_keys(batch: DataFrame, key: str) -> DataFrame:
+    return batch.select(key).distinct()
+
+
 def touched_history(history: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """All snapshots of the keys that occur in the batch.
 
     Rules that look back need the whole history of a key, not only its new rows.
     """
-    keys = batch.select(key).distinct()
-    return history.join(keys, key, "left_semi")
+    return history.join(touched_keys(batch, key), key, "left_semi")
 
 
-def publish_latest(published: DataFrame, recomputed: DataFrame, key: str) -> DataFrame:
-    """Replace the touched keys of a published table; one row per key stays."""
-    kept = published.join(recomputed.select(key), key, "left_anti")
+def publish_latest(
+    published: DataFrame, recomputed: DataFrame, batch: DataFrame, key: str
+) -> DataFrame:
+    """Replace the keys of the batch in a published table; one row per key stays."""
+    kept = published.join(touched_keys(batch, key), key, "left_anti")
     return kept.unionByName(recomputed)

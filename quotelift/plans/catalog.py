@@ -76,10 +76,15 @@ def temporal_rule(
     ts: str = "TS_ARQ",
     tie: str | None = None,
     stale_days: int = fv.STALE_DAYS,
+    leave_out: Sequence[str] = (),
 ) -> DataFrame:
-    """Latest snapshot per quote, stale quotes closed, day counts to the closing date."""
+    """Latest snapshot per quote, stale quotes closed, day counts to the closing date.
+
+    ``leave_out`` names columns that need not travel through the shuffle.
+    """
+    carried = [c for c in df.columns if c not in leave_out or c in (quote, status, ts)]
     entries = {"TS_FECHAMENTO_EMITIDA": fv.ISSUED, "TS_FECHAMENTO_PERDIDA_NAT": fv.LOST}
-    latest = latest_with_entries(df, quote, ts, tie or status, status, entries)
+    latest = latest_with_entries(df, quote, ts, tie or status, status, entries, carried)
     aged = days_since_update(latest, df, ts, "DIAS_ULTIMA_ATUALIZACAO")
     closed = stale_to_lost(
         aged,
@@ -147,14 +152,24 @@ def exclude_months(
     return df.filter(~F.date_format(as_date(df, date), "yyyy-MM").isin(list(months)))
 
 
-def quote_rules(house: str = "", purpose: str = "train", tie: str | None = None) -> list[Rule]:
+def quote_drops(house: str = "") -> list[str]:
+    return fv.QUOTE_DROPS + [f"{c}{house}" for c in fv.QUOTE_DROPS_WITH_HOUSE]
+
+
+def quote_rules(
+    house: str = "",
+    purpose: str = "train",
+    tie: str | None = None,
+    leave_out: Sequence[str] = (),
+) -> list[Rule]:
     """Cleaning rules of the quote table.
 
     ``purpose='score'`` keeps open quotes and sets no label: their outcome is unknown.
+    ``leave_out`` names columns that GEN_R07 need not carry through its shuffle because
+    GEN_R08 drops them anyway.
     """
     quote = f"CD_NUMERO_COTACAO{house}"
     train = purpose == "train"
-    drops = fv.QUOTE_DROPS + [f"{c}{house}" for c in fv.QUOTE_DROPS_WITH_HOUSE]
     return [
         Rule("GEN_R00", "upper-case column names", upper_names, enabled=not train),
         Rule(
@@ -191,10 +206,10 @@ def quote_rules(house: str = "", purpose: str = "train", tie: str | None = None)
         Rule(
             "GEN_R07",
             "latest snapshot, stale quotes, day counts",
-            lambda d: temporal_rule(d, quote, tie=tie),
+            lambda d: temporal_rule(d, quote, tie=tie, leave_out=leave_out),
             requires=(quote, "TS_ARQ", "DS_GRUPO_STATUS"),
         ),
-        Rule("GEN_R08", "drop columns out of scope", lambda d: d.drop(*drops)),
+        Rule("GEN_R08", "drop columns out of scope", lambda d: d.drop(*quote_drops(house))),
         Rule("GEN_R09", "canonical status", canonical_status, requires=("DS_GRUPO_STATUS",)),
         Rule("GEN_R10", "final statuses", final_status, train, ("DS_GRUPO_STATUS",)),
         Rule("GEN_R11", "label", label, train, ("DS_GRUPO_STATUS",)),

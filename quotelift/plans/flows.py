@@ -22,8 +22,12 @@ def clean_quotes(
     toggles: Toggles | None = None,
     count_rows: bool = False,
 ) -> tuple[DataFrame, list[LogEntry]]:
-    rules = catalog.quote_rules(house, purpose, tie)
-    return apply_rules(bronze, rules, "cotacao_generico", toggles, count_rows=count_rows)
+    table = "cotacao_generico"
+    # columns dropped right after the temporal rule do not go through its shuffle
+    drops_on = (toggles or {}).get(table, {}).get("GEN_R08", True)
+    leave_out = catalog.quote_drops(house) if drops_on else []
+    rules = catalog.quote_rules(house, purpose, tie, leave_out)
+    return apply_rules(bronze, rules, table, toggles, count_rows=count_rows)
 
 
 def clean_summary(

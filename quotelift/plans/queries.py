@@ -318,14 +318,26 @@ def dedupe_most_filled(spark, sf):
 
 @query
 def latest_snapshot(spark, sf):
-    return temporal.latest_snapshot(view(spark, sf, "v_snapshots"), "quote_id", "ts_arq", "event_id").select(
-        "quote_id", "event_id", "premium", "status"
+    return temporal.latest_snapshot(
+        view(spark, sf, "v_snapshots"),
+        "quote_id",
+        "ts_arq",
+        "event_id",
+        ["quote_id", "event_id", "premium", "status"],
     )
 
 
 def aged_snapshots(spark, sf) -> DataFrame:
     history = view(spark, sf, "v_snapshots")
-    latest = temporal.latest_with_entries(history, "quote_id", "ts_arq", "event_id", "status", ENTRIES)
+    latest = temporal.latest_with_entries(
+        history,
+        "quote_id",
+        "ts_arq",
+        "event_id",
+        "status",
+        ENTRIES,
+        ["quote_id", "ts_arq", "status", "day"],
+    )
     return temporal.days_since_update(latest, history, "ts_arq", "days_idle")
 
 
@@ -387,12 +399,16 @@ def temporal_incremental(spark, sf):
     last_day = history.agg(F.max("day").alias("d")).scalar()
     batch = history.filter(F.col("day") == last_day)
     before = history.filter(F.col("day") < last_day)
-    published = temporal.latest_with_entries(
-        before, "quote_id", "ts_arq", "event_id", "status", ENTRIES
-    )
-    touched = temporal.touched_history(history, batch, "quote_id")
-    again = temporal.latest_with_entries(touched, "quote_id", "ts_arq", "event_id", "status", ENTRIES)
-    out = temporal.publish_latest(published, again, "quote_id")
+
+    def newest(df: DataFrame) -> DataFrame:
+        carried = ["quote_id", "event_id", "status"]
+        return temporal.latest_with_entries(
+            df, "quote_id", "ts_arq", "event_id", "status", ENTRIES, carried
+        )
+
+    published = newest(before)
+    again = newest(temporal.touched_history(history, batch, "quote_id"))
+    out = temporal.publish_latest(published, again, batch, "quote_id")
     return out.select(
         "quote_id", "event_id", "status", *[F.col(c).cast("date").alias(c) for c in ENTRIES]
     )

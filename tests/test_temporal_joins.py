@@ -62,7 +62,7 @@ def test_incremental_equals_full(spark):
     old, new = df.filter(F.col("ts") < cut), df.filter(F.col("ts") >= cut)
     published = temporal.latest_with_entries(old, "q", "ts", "seq", "st", values)
     again = temporal.latest_with_entries(temporal.touched_history(df, new, "q"), "q", "ts", "seq", "st", values)
-    got = temporal.publish_latest(published, again, "q")
+    got = temporal.publish_latest(published, again, new, "q")
     full = temporal.latest_with_entries(df, "q", "ts", "seq", "st", values)
     assert sorted(got.select(*full.columns).collect()) == sorted(full.collect())
 
