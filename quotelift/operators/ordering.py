@@ -33,11 +33,11 @@ def ordered_chunks(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Sort globally and write once; adds ``_chunk`` (in order) and ``_row`` (in chunk).
 
     The positions are stored, not recomputed, so every branch that reads the result
-    sees the same ones, also after a retry.
+    sees the same ones, also after a retry. The number of chunks follows the data:
+    adaptive execution merges small neighbouring ranges, which keeps their order.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = (
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_position", F.monotonically_increasing_id())
     )

@@ -1,15 +1,22 @@
-"""End-to-end flows: clean, join and segment, prepare training data."""
+"""End-to-end flows: clean, join and segment, prepare, cluster, train, score, compare."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from quotelift.operators.features import FeaturePlan, fit_features
+from quotelift.operators import cluster as clustering
+from quotelift.operators import evaluation, training
+from quotelift.operators.columns import blanks_to_null, cast_double, unpivot_scores
+from quotelift.operators.features import FeaturePlan, class_weights, fit_features
+from quotelift.operators.profile import entity_profile
 from quotelift.plans import catalog
+from quotelift.plans import fixed_values as fv
 from quotelift.plans.rules import LogEntry, apply_rules
+from quotelift.session import materialize
 
 Toggles = Mapping[str, Mapping[str, bool]]
 
@@ -92,3 +99,158 @@ def training_data(
     prep = (toggles or {}).get("rules_feature_prep")
     features = fit_features(model, candidates, prep)
     return TrainingData(features.apply(model), features.apply(valid), features, log)
+
+
+# Broker profile features used for clustering.
+PROFILE_FEATURES = ["rate_mean", "volume_mean", "n_products"]
+
+
+def in_segment(df: DataFrame, segment: str | None, column: str = "SEG") -> DataFrame:
+    """Rows of one segment; on a table partitioned by segment only its files are read."""
+    return df if segment is None else df.filter(F.col(column) == segment)
+
+
+def broker_profile(segmented: DataFrame, segment: str | None = None) -> DataFrame:
+    return entity_profile(
+        in_segment(segmented, segment),
+        "CD_DOC_CORRETOR",
+        "HR_2025_detalhe",
+        "QTD_COTACAO_2025_detalhe",
+        "DS_PRODUTO_NOME",
+    )
+
+
+def cluster_brokers(
+    segmented: DataFrame,
+    k: int,
+    scaling: str = "log1p_standard",
+    nulls: str = "drop",
+    segment: str | None = None,
+    restarts: int = fv.CLUSTER_RESTARTS,
+) -> clustering.ClusterFit:
+    """Profile, NULL strategy, scaling and final fit; the profile is computed once."""
+    profile = materialize(broker_profile(segmented, segment), "brokers")
+    ready = clustering.cluster_nulls(profile, PROFILE_FEATURES, nulls)
+    return clustering.kmeans_fit(ready, PROFILE_FEATURES, k, scaling, restarts)
+
+
+def with_cluster(
+    data: TrainingData, fit: clustering.ClusterFit, column: str = "CLF_CORRETOR"
+) -> TrainingData:
+    """Attach the broker cluster to model and validation rows as one more category."""
+
+    def attach(df: DataFrame) -> DataFrame:
+        return clustering.attach_cluster(df, fit.assigned, "CD_DOC_CORRETOR", column)
+
+    features = replace(data.features, categorical=[*data.features.categorical, column])
+    return TrainingData(attach(data.model), attach(data.valid), features, data.log)
+
+
+@dataclass
+class Trained:
+    models: training.ScoringSet
+    train_quality: DataFrame
+    cv: DataFrame
+    evaluation: DataFrame
+
+
+def train(
+    data: TrainingData,
+    key: str,
+    segment: str | None = None,
+    categorical: Sequence[str] | None = None,
+    numeric: Sequence[str] | None = None,
+    combos: Sequence[training.Combo] | None = None,
+    cv_iterations: int = fv.GRID_ITERATIONS,
+    final_iterations: int = fv.FINAL_ITERATIONS,
+    weights: str | bool = "auto",
+    criterion: str = "max_f1",
+    precision_target: float = 0.4,
+) -> Trained:
+    """Cross validation, final fits of every grid point, thresholds on validation rows."""
+    cats = list(data.features.categorical if categorical is None else categorical)
+    nums = list(data.features.numeric if numeric is None else numeric)
+    rows = cast_double(blanks_to_null(in_segment(data.model, segment)), nums)
+    rows = materialize(
+        class_weights(rows, "label", weights).select(key, "label", "weight", *cats, *nums), "model"
+    )
+    cv = training.cv_grid(rows, key, "label", cats, nums, combos, cv_iterations)
+    models, quality = training.train_final(
+        rows, "label", cats, nums, data.features.lists, combos, final_iterations
+    )
+    valid = in_segment(data.valid, segment)
+    scores = materialize(training.score_models(valid, models, key), "valid-scores")
+    labelled = scores.join(valid.select(key, "label"), key)
+    long = unpivot_scores(labelled, [key, "label"], fv.SCORE_PREFIX, fv.RANK_PREFIX)
+    summary = evaluation.eval_summary(
+        long, "label", "score", ["model_id"], criterion, precision_target
+    )
+    return Trained(models, quality, cv, summary)
+
+
+def score(
+    df: DataFrame,
+    models: training.ScoringSet,
+    key: str,
+    segment: str | None = None,
+    metadata: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Wide scores of one segment; an empty segment is an error."""
+    rows = in_segment(df, segment)
+    if rows.isEmpty():
+        raise ValueError(f"no rows to score in segment {segment!r}")
+    return training.score_wide(rows, models, key, metadata)
+
+
+def compare(
+    scored: DataFrame,
+    key: str,
+    status: str = "DS_GRUPO_STATUS",
+    segment: str | None = None,
+    cluster: str | None = None,
+    train_quality: DataFrame | None = None,
+    cluster_facts: DataFrame | None = None,
+    step: int = 1,
+    reference_k: int = fv.REFERENCE_K,
+) -> dict[str, DataFrame]:
+    """All comparison tables of a wide score table, by name.
+
+    Scores are turned to long form and written once; every table reads only the columns
+    it needs from there. Cluster tables appear if a cluster column is given.
+    """
+    wide = in_segment(scored, segment).withColumn("label", evaluation.eval_label(status))
+    keep = [key, status, "label", *([cluster] if cluster else [])]
+    long = materialize(unpivot_scores(wide, keep, fv.SCORE_PREFIX, fv.RANK_PREFIX), "scored")
+    models = evaluation.base_rate(long, "label", ["model_id"])
+    total = models.agg(F.max("n_rows").alias("n")).scalar()
+    ranks = sorted(c for c in scored.columns if c.startswith(fv.RANK_PREFIX))
+    by_model = ["model_id"]
+    quality = materialize(evaluation.average_precision(long, "label", "score", by_model), "quality")
+    topk = evaluation.topk_curves(long, "label", "score_rank", by_model, total, step)
+    final = catalog.final_status(catalog.canonical_status(long, status), status)
+    out = {
+        "base_rate": models,
+        "topk": topk,
+        "quality": quality,
+        "pr_curve": evaluation.pr_curve(long, "label", "score", by_model),
+        "score_histogram": evaluation.score_histogram(final, "score", ["model_id", status]),
+        "score_stats": evaluation.score_stats(long, "score", ["model_id", "label"]),
+        "selection": evaluation.model_selection(quality, topk, reference_k, step),
+    }
+    if len(ranks) > 1:
+        out["rank_correlation"] = evaluation.rank_correlation(wide, ranks)
+        out["overlap"] = evaluation.overlap_at_k(wide, ranks, total, step)
+    if train_quality is not None:
+        out["overfit"] = evaluation.overfit_gap(train_quality, quality)
+    if cluster:
+        by = [cluster, "model_id"]
+        one_model = long.filter(F.col("model_id") == models.agg(F.min("model_id")).scalar())
+        clustered = long.filter(F.col(cluster).isNotNull())
+        out["cluster_profile"] = evaluation.cluster_profile(
+            one_model, "label", cluster, cluster_facts
+        )
+        out["cluster_metrics"] = evaluation.cluster_metrics(long, "label", "score", cluster)
+        out["cluster_pr_curve"] = evaluation.pr_curve_by_cluster(long, "label", "score", cluster)
+        out["cluster_topk"] = evaluation.topk_by_group(clustered, "label", "score", key, by, step)
+        out["cluster_stats"] = evaluation.score_stats_by_cluster(clustered, "score", by)
+    return out

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelift.operators.columns import apply_types
+from quotelift.sources.files import scan_csv
 
 
 def ensure_schema(spark: SparkSession, name: str) -> None:
@@ -52,6 +53,12 @@ def refresh_dimension(df: DataFrame, table: str) -> None:
     df.write.format("parquet").mode("overwrite").saveAsTable(table)
 
 
+def ingest_dimension(spark: SparkSession, paths: str | list[str], table: str) -> None:
+    """Reload a dimension from its delimited file, stamped with the load time."""
+    rows = scan_csv(spark, paths, tag=False)
+    refresh_dimension(rows.withColumn("TS_ATUALIZACAO", F.current_timestamp()), table)
+
+
 def copy_table(spark: SparkSession, source: str, target: str, refresh: bool = False) -> bool:
     """Copy a table if the target is absent or a refresh is asked for."""
     if spark.catalog.tableExists(target) and not refresh:

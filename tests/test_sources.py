@@ -110,6 +110,13 @@ def test_table_sinks(spark, schema):
     assert spark.table("qlt.copy").count() == 1
 
 
+def test_dimension_reload(spark, schema, folder):
+    for _ in range(2):
+        tables.ingest_dimension(spark, f"{folder}/{NAMES[0]}", "qlt.dim")
+    assert spark.table("qlt.dim").columns == ["ID", "NOME", "VL", "TS_ATUALIZACAO"]
+    assert spark.table("qlt.dim").count() == 2
+
+
 def test_stream_reads_each_file_once(spark, folder, tmp_path):
     target, state = scratch_path(spark, "stream"), scratch_path(spark, "state")
     source = "`\"ID\"` string, `'NOME'` string, VL string"
