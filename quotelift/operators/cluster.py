@@ -86,6 +86,10 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], strategy: str) -> Scaler:
         ).first()
         found = {c: (row[f"{c}__m"], row[f"{c}__s"]) for c in cols}
 
+    empty = [c for c in cols if found.get(c, (None,))[0] is None]
+    if empty:
+        raise ValueError(f"no values to scale in {empty}")
+
     def width_of(center: float, width: float) -> float:
         # rounding leaves a constant feature with a tiny deviation instead of none
         return 1.0 if width <= CONSTANT * abs(center) else width

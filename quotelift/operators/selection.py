@@ -121,11 +121,14 @@ def fs_methods(
         slots = slot_features(train_vec)
         for method, settings in (methods or METHODS).items():
             model = _without_summary(_classifier(method, settings, seed).fit(train_vec))
-            scored = model.transform(valid_vec).select(
-                key,
-                "label",
-                "rawPrediction",
-                vector_to_array("probability")[1].alias("score"),
+            scored = materialize(
+                model.transform(valid_vec).select(
+                    key,
+                    "label",
+                    "rawPrediction",
+                    vector_to_array("probability")[1].alias("score"),
+                ),
+                "selection-scores",
             )
             ap = average_precision_rows(scored, "label", "score", key).first()["ap"]
             quality.append((method, seed, float(ap), float(evaluator.evaluate(scored))))

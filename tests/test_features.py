@@ -145,6 +145,9 @@ def test_scalers(blobs):
         assert np.allclose([r["o"] for r in back], [r["a"] for r in back])
     with pytest.raises(ValueError):
         cluster.fit_scaler(blobs, ["a"], "minmax")
+    for strategy in want:
+        with pytest.raises(ValueError, match="no values"):
+            cluster.fit_scaler(blobs.withColumn("e", F.lit(None).cast("double")), ["e"], strategy)
 
 
 def test_cluster_nulls(spark):

@@ -95,6 +95,9 @@ def test_table_sinks(spark, schema):
     tables.write_new(first, "qlt.t", partition_by="v")
     with pytest.raises(ValueError):
         tables.write_new(first, "qlt.t")
+    one = spark.table("qlt.t").filter("v = 'a'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(v" in plan  # only the files of that segment
     assert tables.next_batch_id(spark, "qlt.bronze") == 0
     tables.append_fixed(tables.tag_batch(first, 0), "qlt.bronze")
     later = spark.createDataFrame([("b", "2")], "v string, id string")
