@@ -143,7 +143,6 @@ def eval_summary(
     choice = select_threshold(
         threshold_sweep(df, label, score, by), criterion, precision_target, by
     )
-    # undefined ratios of the curve stay out; counts come from the same curve row
     n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
     return choice.withColumn("n_eval", n).withColumn(
         "baseline", (F.col("tp") + F.col("fn")) / F.col("n_eval")
@@ -250,7 +249,9 @@ def first_percent(rank: Column, total: Column) -> Column:
     )
 
 
-def _percent_cells(df: DataFrame, by: Sequence[str], label: Column, rank: Column, total: Column) -> DataFrame:
+def _percent_cells(
+    df: DataFrame, by: Sequence[str], label: Column, rank: Column, total: Column
+) -> DataFrame:
     """Per group: totals and at most 101 (percent, rows, positives) cells."""
     slim = df.select(*by, label.alias("_label"), rank.alias("_rank"), total.alias("_total"))
     pct = first_percent(F.col("_rank"), F.col("_total"))

@@ -13,7 +13,11 @@ NULL_SPREAD = 1024
 
 
 def dedupe_most_filled(
-    df: DataFrame, key: Column | str, tie: str, ts: str | None = None, scored: Sequence[str] | None = None
+    df: DataFrame,
+    key: Column | str,
+    tie: str,
+    ts: str | None = None,
+    scored: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: most filled fields, then newest, then the larger tie column.
 

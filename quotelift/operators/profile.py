@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from quotelift.functions import is_blank, status_key
+from quotelift.functions import status_key
 from quotelift.operators.columns import filled
 from quotelift.operators.ordering import exact_quantiles
 
@@ -103,7 +103,8 @@ def score_profile(df: DataFrame, score: str) -> DataFrame:
 def null_share(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """NULL count and share per column, in long form."""
     one = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(cols)]
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(cols)],
     )
     entries = [
         F.struct(
