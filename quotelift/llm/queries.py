@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelift.llm import fair_mix, quality, shard_table, url_filter
+from quotelift.llm import dart_minhash, fair_mix, quality, sentencepiece_viterbi, shard_table, url_filter
 from quotelift.llm.common import table
 
 #: Hosts whose pages make up the list of URLs in ``op10_url_filter``.
 LISTED_HOSTS = "adult-|casino-|cheap-pills|free-bets|ads-track|spam-farm"
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_viterbi.encode(table(spark, sf_dir, "documents"), check=True)
+
+
+def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op5_shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table.assign(table(spark, sf_dir, "documents"))
 
@@ -32,6 +40,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_dart_minhash": op3_dart_minhash,
     "op5_shard_table": op5_shard_table,
     "op6_fair_mix": op6_fair_mix,
     "op8_quality": op8_quality,
