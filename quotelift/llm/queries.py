@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelift.llm import dart_minhash, fair_mix, quality, sentencepiece_viterbi, shard_table, url_filter
+from quotelift.llm import bloom_lm, dart_minhash, fair_mix, quality, sentencepiece_viterbi, shard_table, url_filter
 from quotelift.llm.common import table
 
 #: Hosts whose pages make up the list of URLs in ``op10_url_filter``.
@@ -29,6 +29,10 @@ def op6_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op3_dart_minhash": op3_dart_minhash,
     "op5_shard_table": op5_shard_table,
     "op6_fair_mix": op6_fair_mix,
+    "op7_bloom_lm": op7_bloom_lm,
     "op8_quality": op8_quality,
     "op10_url_filter": op10_url_filter,
 }
