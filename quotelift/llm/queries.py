@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelift.llm import bloom_lm, dart_minhash, fair_mix, quality, sentencepiece_viterbi, shard_table, url_filter
+from quotelift.llm import adaptive_scan, bloom_lm, dart_minhash, fair_mix, itq, quality, sentencepiece_viterbi, shard_table, url_filter
 from quotelift.llm.common import table
 
 #: Hosts whose pages make up the list of URLs in ``op10_url_filter``.
@@ -20,6 +20,11 @@ def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op4_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return adaptive_scan.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
 def op5_shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table.assign(table(spark, sf_dir, "documents"))
 
@@ -37,6 +42,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     listed = pages.select("url").filter(url_filter.host_of(F.col("url")).rlike(LISTED_HOSTS))
@@ -46,9 +55,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_dart_minhash": op3_dart_minhash,
+    "op4_adaptive_scan": op4_adaptive_scan,
     "op5_shard_table": op5_shard_table,
     "op6_fair_mix": op6_fair_mix,
     "op7_bloom_lm": op7_bloom_lm,
     "op8_quality": op8_quality,
+    "op9_itq": op9_itq,
     "op10_url_filter": op10_url_filter,
 }
