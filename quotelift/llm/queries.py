@@ -5,13 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelift.llm import adaptive_scan, bloom_lm, dart_minhash, fair_mix, itq, quality, sentencepiece_viterbi, shard_table, url_filter
+from quotelift.llm import (
+    adaptive_scan,
+    bloom_lm,
+    dart_minhash,
+    fair_mix,
+    html_template,
+    itq,
+    quality,
+    sentencepiece_viterbi,
+    shard_table,
+    url_filter,
+)
 from quotelift.llm.common import table
 
 #: Hosts whose pages make up the list of URLs in ``op10_url_filter``.
 LISTED_HOSTS = "adult-|casino-|cheap-pills|free-bets|ads-track|spam-farm"
 
 
+def op1_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_viterbi.encode(table(spark, sf_dir, "documents"), check=True)
 
@@ -53,6 +68,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_template": op1_html_template,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_dart_minhash": op3_dart_minhash,
     "op4_adaptive_scan": op4_adaptive_scan,
