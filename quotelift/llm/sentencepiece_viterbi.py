@@ -24,6 +24,7 @@ The model file is read on the driver and broadcast: its pieces (checked against
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain, pairwise
@@ -210,8 +211,8 @@ def viterbi(chars: Iterable[str], vocab: Vocabulary, stay: Neighbours) -> Iterat
     yield from path(end)
 
 
-#: The encoder of a Python worker, by the number of its broadcast; it outlives single tasks.
-_encoders: dict[int, Encoder] = {}
+#: The encoder of a Python worker, by the encoding it belongs to; it outlives single tasks.
+_encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
@@ -255,7 +256,7 @@ def encode(docs: DataFrame, model: str = MODEL, key: str = "doc_id", check: bool
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(Vocabulary.load(model))
-    number = shared.id
+    number = uuid.uuid4().hex
     rows = docs.select(F.col(key).alias(key), "text")
     kind = dict(rows.dtypes)[key]
 
