@@ -12,9 +12,9 @@ Candidates share a whole band of the signature. They are not paired off within a
 1. Every member meets one leader of its bucket, the one with most bucket mates. Pairs that
    exact counting confirms are links; links give first components.
 2. Members of a bucket that are still in different components meet as well (except two members
-   of the bucket's main component). In buckets with many members, a bound that is exact removes
-   most of these pairs first: shingles that no other member of such buckets has cannot be
-   shared, and what remains must reach the threshold.
+   of the bucket's main component), if their whole signatures agree well enough. In buckets
+   with many members, a bound that is exact removes further pairs: shingles that no other
+   member of such buckets has cannot be shared, and what remains must reach the threshold.
 
 So no link between texts of different components that share a band is lost, and a large group
 of copies costs rows in proportion to its size.
@@ -28,27 +28,29 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelift.llm.common import materialize
 from quotelift.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
-COORDINATES, BANDS, ROWS = 128, 25, 5
+COORDINATES, BANDS, ROWS = 256, 25, 5
 #: Expected darts of a text; a coordinate stays empty in about one text of 50, which then
 #: looks at further ranks.
 DARTS = COORDINATES * (np.log(COORDINATES) + 4)
-#: Dyadic ranges of ranks below one, then ranges of length one.
-EDGES = [0.0, *(2.0**-i for i in range(6, -1, -1))]
-#: Sketches that agree less than this cannot belong to a pair at the threshold, but for one
-#: chance in a million (five standard deviations).
-SKETCH_LEAST = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / COORDINATES) ** 0.5
+#: Ranges of ranks below one, then ranges of length one.
+EDGES = [0.0, 0.0625, 0.25, 0.5, 1.0]
+#: Coordinates (of which a sketch has one byte each) that a pair at the threshold agrees in, but
+#: for a chance of 3 in 100,000 (four standard deviations), which is that of missing all bands.
+SKETCH_LEAST = int(COORDINATES * THRESHOLD - 4 * (COORDINATES * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
 #: Buckets up to this size pair their members off at once in the second round.
 SMALL_BUCKET = 16
 #: Shingles that are worked on together.
 BATCH = 400_000
 REMEMBERED = 500_000
+#: Shingles of texts that are kept while pairs are counted.
+KEPT_SHINGLES = 3_000_000
 
 _A, _B, _C = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -160,7 +162,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-_SIGNED = "doc_id long, digest binary, weight long, bands array<long>, sketch binary"
+_SIGNED = "doc_id long, digest binary, weight long, bands array<long>, sketch array<long>"
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -171,7 +173,11 @@ def signed(docs: DataFrame) -> DataFrame:
 
         def out(ids, digests, sets):
             signature = signatures(sets)
-            sketch = (signature & 0xFF).astype(np.uint8)
+            sketch = (signature & 0xFF).astype(np.uint8).view(np.int64)
+            width = sketch.shape[1]
+            words = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(sets) + 1, dtype=np.int32) * width), pa.array(sketch.ravel())
+            )
             bands = band_keys(signature)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel())
@@ -182,7 +188,7 @@ def signed(docs: DataFrame) -> DataFrame:
                     pa.array(digests, pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     lists,
-                    pa.array([s.tobytes() for s in sketch], pa.binary()),
+                    words,
                 ],
                 ["doc_id", "digest", "weight", "bands", "sketch"],
             )
@@ -208,35 +214,55 @@ def signed(docs: DataFrame) -> DataFrame:
     return rows.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _SIGNED)
 
 
-def _similar(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard is at least the threshold, counted exactly."""
-    side = nodes.select(F.col("node"), "weight", "sketch")
-    near = pairs.join(side.toDF("a", "weight_a", "sketch_a"), "a").join(side.toDF("b", "weight_b", "sketch_b"), "b")
-    # the smaller weight over the larger is the most that the similarity can be
-    near = near.filter(F.least("weight_a", "weight_b") >= THRESHOLD * F.greatest("weight_a", "weight_b"))
+def _fold(shift: int, mask: int):
+    return lambda d: d.bitwiseOR(F.shiftrightunsigned(d, shift)).bitwiseAND(F.lit(mask))
 
-    def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                x = np.frombuffer(b"".join(pdf["sketch_a"]), np.uint8).reshape(-1, COORDINATES)
-                y = np.frombuffer(b"".join(pdf["sketch_b"]), np.uint8).reshape(-1, COORDINATES)
-                yield pdf.loc[(x == y).mean(axis=1) >= SKETCH_LEAST, ["a", "b"]]
 
-    near = materialize(near.mapInPandas(agree, "a long, b long"), "near-pairs")
+def _agree(x: Column, y: Column) -> Column:
+    """Coordinates whose bytes are equal in two sketches."""
+    differ = F.zip_with(x, y, lambda a, b: a.bitwiseXOR(b))
+    # gather every byte into its lowest bit, half by half
+    for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
+        differ = F.transform(differ, _fold(shift, mask))
+    return F.lit(COORDINATES) - F.aggregate(differ, F.lit(0), lambda n, d: n + F.bit_count(d))
+
+
+def _alike(weight_a: str, weight_b: str, sketch_a: str, sketch_b: str) -> Column:
+    """Not ruled out by the weights or the sketches."""
+    sizes = F.least(weight_a, weight_b) >= THRESHOLD * F.greatest(weight_a, weight_b)
+    return sizes & (_agree(F.col(sketch_a), F.col(sketch_b)) >= SKETCH_LEAST)
+
+
+def _similar(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose weighted Jaccard is at least the threshold, counted exactly.
+
+    Neither pairs nor texts have a bound, so their joins are sort-merge joins at any size.
+    """
+    side = nodes.select("node", "weight", "sketch")
+    near = pairs.join(side.toDF("a", "weight_a", "sketch_a"), "a").join(side.toDF("b", "weight_b", "sketch_b"), "b")
+    near = materialize(near.filter(_alike("weight_a", "weight_b", "sketch_a", "sketch_b")).select("a", "b"), "near-pairs")
     text = texts.select("doc_id", "text")
-    full = near.join(text.toDF("a", "text_a"), "a").join(text.toDF("b", "text_b"), "b")
+    full = near.join(text.toDF("a", "text_a").hint("merge"), "a").join(text.toDF("b", "text_b").hint("merge"), "b")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        last: tuple = (None, None)
+        hashes, known, held = WordHashes(), {}, 0
+
+        def keys(text: str) -> np.ndarray:
+            nonlocal held
+            if text not in known:
+                if held > KEPT_SHINGLES:
+                    known.clear()
+                    held = 0
+                known[text] = np.unique(_occurrences(shingles(text, hashes)))
+                held += len(known[text])
+            return known[text]
+
         for pdf in batches:
             keep = []
             for x, y in zip(pdf["text_a"], pdf["text_b"], strict=True):
-                if last[0] is not x and last[0] != x:
-                    last = (x, np.unique(_occurrences(shingles(x, hashes))))
-                other = np.unique(_occurrences(shingles(y, hashes)))
-                common = len(np.intersect1d(last[1], other, assume_unique=True))
-                keep.append(common >= THRESHOLD * (len(last[1]) + len(other) - common))
+                x, y = keys(x), keys(y)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(common >= THRESHOLD * (len(x) + len(y) - common))
             yield pdf.loc[np.array(keep, bool), ["a", "b"]]
 
     return materialize(full.mapInPandas(count, "a long, b long"), "links")
@@ -261,11 +287,11 @@ def _shareable(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _second_round(members: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+def _second_round(members: DataFrame, nodes: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of bucket mates in different components, by the rules above."""
     comp = found.select("node", F.col("component_id").alias("comp"))
-    now = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    now = materialize(now.select("key", "node", "weight", "comp"), "members")
+    now = members.join(nodes.select("node", "weight", "sketch"), "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    now = materialize(now.select("key", "node", "weight", "sketch", "comp"), "members")
     per = now.groupBy("key", "comp").agg(F.count("*").alias("n"))
     open_ = per.groupBy("key").agg(
         F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("main")
@@ -276,7 +302,7 @@ def _second_round(members: DataFrame, found: DataFrame, texts: DataFrame) -> Dat
     shared = _shareable(materialize(large, "large"), texts)
     now = materialize(now.join(shared, "node", "left"), "bounded-members")
     one = now.filter("comp <> main")
-    names = ("node", "comp", "weight", "shared", "n", "main")
+    names = ("node", "comp", "weight", "sketch", "shared", "n", "main")
     one, two = (
         x.select("key", *[F.col(c).alias(f"{c}_{s}") for c in names]) for x, s in ((one, "a"), (now, "b"))
     )
@@ -284,11 +310,11 @@ def _second_round(members: DataFrame, found: DataFrame, texts: DataFrame) -> Dat
     enough = most >= (F.col("weight_a") + F.col("weight_b")) * (THRESHOLD / (1 + THRESHOLD)) - 1e-6
     # two members outside the main component meet from both sides; one is enough
     once = (F.col("comp_b") == F.col("main_b")) | (F.col("node_a") < F.col("node_b"))
-    sizes = F.least("weight_a", "weight_b") >= THRESHOLD * F.greatest("weight_a", "weight_b")
+    alike = _alike("weight_a", "weight_b", "sketch_a", "sketch_b")
     # members whose texts have too little in common with any other are gone before the join
     alive = F.coalesce(F.col("shared_a") >= THRESHOLD * F.col("weight_a") - 1e-6, F.lit(True))
     met = one.filter(alive).join(two, "key").filter(
-        (F.col("comp_a") != F.col("comp_b")) & once & sizes & ((F.col("n_b") <= SMALL_BUCKET) | enough)
+        (F.col("comp_a") != F.col("comp_b")) & once & ((F.col("n_b") <= SMALL_BUCKET) | enough) & alike
     )
     return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
@@ -312,7 +338,7 @@ def classes(docs: DataFrame) -> DataFrame:
     exact = first.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     nodes = materialize(first.filter("doc_id = node").drop("digest", "doc_id").dropDuplicates(["node"]), "nodes")
 
-    bands = nodes.select("node", "weight", F.explode("bands").alias("key"))
+    bands = nodes.select("node", F.explode("bands").alias("key"))
     buckets = materialize(bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
     members = materialize(bands.join(buckets, "key"), "members")
     mates = materialize(members.groupBy("node").agg(F.sum("n").alias("mates")), "mates")
@@ -324,10 +350,10 @@ def classes(docs: DataFrame) -> DataFrame:
     stars = materialize(stars, "stars")
     # only texts that some pair needs are kept for counting
     needed = members.select(F.col("node").alias("doc_id")).distinct()
-    kept = texts.filter("text is not null").join(needed, "doc_id", "left_semi")
+    kept = texts.filter("text is not null").join(needed.hint("merge"), "doc_id", "left_semi")
     kept = materialize(kept.dropDuplicates(["doc_id"]), "bucket-texts")
     links = _similar(stars, nodes, kept)
-    second = materialize(_second_round(members, components(links), kept), "second-round")
+    second = materialize(_second_round(members, nodes, components(links), kept), "second-round")
     second = second.join(stars, ["a", "b"], "left_anti")
     links = links.unionByName(_similar(second, nodes, kept))
     found = components(links.unionByName(exact)).withColumnRenamed("node", "doc_id")
