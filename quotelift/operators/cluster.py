@@ -182,8 +182,12 @@ def kmeans_fit(
 
 def attach_cluster(df: DataFrame, assigned: DataFrame, entity: str, out: str) -> DataFrame:
     """Left join of the cluster label; entities without a cluster keep NULL."""
-    labels = assigned.select(entity, F.col("cluster").alias(out))
-    return df.join(labels, entity, "left")
+    labels = assigned.filter(F.col(entity).isNotNull()).select(
+        entity, F.lit(0).cast("long").alias("_spare"), F.col("cluster").alias(out)
+    )
+    # rows without an entity would all hash to one task; they match nothing anyway
+    spare = F.when(F.col(entity).isNull(), F.xxhash64(*df.columns)).otherwise(F.lit(0))
+    return df.withColumn("_spare", spare).join(labels, [entity, "_spare"], "left").drop("_spare")
 
 
 def cluster_coverage(df: DataFrame, cluster: str) -> DataFrame:

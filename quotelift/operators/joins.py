@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from quotelift.functions import is_blank, normalize_key
 
-NULL_SPREAD = 1024
-
 
 def dedupe_most_filled(
     df: DataFrame,
@@ -64,7 +62,7 @@ def join_retention(
     complete = F.lit(True)
     for n in names:
         complete = complete & F.col(n).isNotNull()
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD)).cast("string")
+    spread = F.xxhash64(*left.columns).cast("string")
     keyed = keyed.withColumns(
         {
             "_complete": complete,
@@ -79,15 +77,3 @@ def join_retention(
         .filter(F.col(names[0]).isNull() | F.col("_p").isNotNull())
         .select(*left.columns, *[F.col("_p")[c].alias(f"{c}{suffix}") for c in payload])
     )
-
-
-def join_audit(parts: dict[str, DataFrame]) -> DataFrame:
-    """Row count of each named step as one small table."""
-    counted = [
-        df.agg(F.lit(name).alias("step"), F.count(F.lit(1)).alias("rows"))
-        for name, df in parts.items()
-    ]
-    out = counted[0]
-    for more in counted[1:]:
-        out = out.unionByName(more)
-    return out

@@ -9,13 +9,12 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from quotelift.operators.evaluation import average_precision_rows
+from quotelift.operators.evaluation import average_precision, average_precision_rows
 from quotelift.operators.features import (
     all_null_columns,
     preprocess_stages,
@@ -102,7 +101,6 @@ def fs_methods(
     seed, ap, auc_pr)``. Both have one row per slot or fit, never per data row.
     """
     spark: SparkSession = df.sparkSession
-    evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR")
     base = materialize(
         spread(df.select(key, F.col(label).cast("int").alias("label"), *categorical, *numeric)),
         "select",
@@ -125,13 +123,13 @@ def fs_methods(
                 model.transform(valid_vec).select(
                     key,
                     "label",
-                    "rawPrediction",
                     vector_to_array("probability")[1].alias("score"),
                 ),
                 "selection-scores",
             )
             ap = average_precision_rows(scored, "label", "score", key).first()["ap"]
-            quality.append((method, seed, float(ap), float(evaluator.evaluate(scored))))
+            area = average_precision(scored, "label", "score").first()["auc_pr"]
+            quality.append((method, seed, float(ap), float(area)))
             importances += [
                 (method, seed, feature, value) for feature, value in zip(slots, _importances(model))
             ]
@@ -154,7 +152,8 @@ def rank_score(
     """
     summed = importances.groupBy(*by, feature).agg(F.sum("importance").alias("importance"))
     group = W.partitionBy(*by)  # one row per feature: small groups
-    place = F.row_number().over(group.orderBy(F.desc("importance"), feature))
+    # sums of doubles differ in their last bits with the order of the rows
+    place = F.row_number().over(group.orderBy(F.round("importance", 12).desc(), feature))
     n = F.count(F.lit(1)).over(group)
     scored = summed.withColumns({"_place": place, "_n": n}).withColumn(
         "score", F.when(F.col("_n") <= 1, 1.0).otherwise(1 - (F.col("_place") - 1) / (F.col("_n") - 1))
@@ -183,7 +182,7 @@ def ensemble_rank(scores: DataFrame, quality: DataFrame) -> DataFrame:
         .groupBy("feature")
         .agg(F.sum(F.col("score") * F.col("weight")).alias("score_final"))
     )
-    order = W.orderBy(F.desc("score_final"), "feature")  # one row per feature
+    order = W.orderBy(F.round("score_final", 12).desc(), "feature")  # one row per feature
     return final.withColumn("rank_final", F.row_number().over(order))
 
 

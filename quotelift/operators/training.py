@@ -9,14 +9,13 @@ from statistics import fmean, pstdev
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelift.operators.columns import blanks_to_null, cast_double, unpivot_scores
 from quotelift.operators.evaluation import average_precision
-from quotelift.operators.features import kfold, preprocess_stages, truncate_apply
+from quotelift.operators.features import all_null_columns, kfold, preprocess_stages, truncate_apply
 from quotelift.operators.ordering import local_rank
 from quotelift.plans import fixed_values as fv
 from quotelift.session import materialize, spread
@@ -66,22 +65,33 @@ def cv_grid(
 ) -> DataFrame:
     """AUC-PR per grid point: mean and population deviation over hash folds.
 
-    Preprocessing is fitted on the training part of each fold. ``df`` needs ``weight``.
+    Preprocessing is fitted on the training part of each fold; a numeric column without any
+    value there is left out. The area is exact, from counts per distinct score. ``df`` needs
+    ``weight``.
     """
     spark = df.sparkSession
     combos = list(combos or grid())
-    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
     folded = kfold(df, key, folds, seed).select("fold", label, "weight", *categorical, *numeric)
     with_fold = materialize(spread(folded), "folds")
     areas: dict[str, list[float]] = {c.model_id: [] for c in combos}
     for i in range(folds):
         train, valid = with_fold.filter(F.col("fold") != i), with_fold.filter(F.col("fold") == i)
-        prepared = preprocess_stages(categorical, numeric).fit(train)
+        empty = all_null_columns(train, numeric)
+        prepared = preprocess_stages(categorical, [c for c in numeric if c not in empty]).fit(train)
         train_vec = prepared.transform(train).select(label, "weight", "features_vec").cache()
         valid_vec = prepared.transform(valid).select(label, "features_vec").cache()
+        scored = None
         for combo in combos:
             model = _gbt(combo, iterations, label, seed).fit(train_vec)
-            areas[combo.model_id].append(float(evaluator.evaluate(model.transform(valid_vec))))
+            one = model.transform(valid_vec).select(
+                F.lit(combo.model_id).alias("model_id"),
+                label,
+                vector_to_array("probability")[1].alias("score"),
+            )
+            scored = one if scored is None else scored.unionByName(one)
+        # one row per grid point
+        for r in average_precision(scored, label, "score", ["model_id"]).collect():
+            areas[r["model_id"]].append(float(r["auc_pr"]))
         train_vec.unpersist()
         valid_vec.unpersist()
     rows = [
@@ -118,6 +128,9 @@ def train_final(
     training quality ``model_id, ap, auc_pr`` for the overfit gap.
     """
     rows = materialize(spread(df.select(label, "weight", *categorical, *numeric)), "train")
+    # a column without any value cannot be filled in and teaches nothing
+    empty = all_null_columns(rows, numeric)
+    numeric = [c for c in numeric if c not in empty]
     prepared = preprocess_stages(categorical, numeric).fit(rows)
     vectors = prepared.transform(rows).select(label, "weight", "features_vec").cache()
     models, scored = {}, None
@@ -171,16 +184,20 @@ def rank_models(scores: DataFrame, key: str) -> DataFrame:
     """Add one rank column per score column.
 
     All models are ranked in one range-partitioned sort over ``(model, score)``, then
-    folded back to one row per key.
+    folded back to one row per key. A key that stands on several rows is an error: their
+    scores would be merged. Rows without a key are ranked but do not come out.
     """
     long = unpivot_scores(scores, [key], fv.SCORE_PREFIX, fv.RANK_PREFIX).drop("score_rank")
     ranked = local_rank(long, "score", key, ["model_id"], "score_rank")
     names = [c[len(fv.SCORE_PREFIX) :] for c in scores.columns if c.startswith(fv.SCORE_PREFIX)]
 
     def of(model: str, col: str):
-        return F.max(F.when(F.col("model_id") == model, F.col(col)))
+        mine = F.when(F.col("model_id") == model, F.col(col))
+        return F.when(F.count_if(F.col("model_id") == model) <= 1, F.max(mine)).otherwise(
+            F.raise_error(F.concat(F.lit(f"several rows to rank under one {key}: "), F.col(key).cast("string")))
+        )
 
-    return ranked.groupBy(key).agg(
+    return ranked.filter(F.col(key).isNotNull()).groupBy(key).agg(
         *[of(m, "score").alias(f"{fv.SCORE_PREFIX}{m}") for m in names],
         *[of(m, "score_rank").cast("int").alias(f"{fv.RANK_PREFIX}{m}") for m in names],
     )
@@ -190,7 +207,10 @@ def attach_scores(
     df: DataFrame, ranked: DataFrame, key: str, metadata: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Wide table: input columns, scores and ranks per model, run metadata literals."""
-    wide = df.join(ranked, key, "left")
+    # rows without a key match nothing; a spread value keeps them from meeting in one task
+    spare = F.when(F.col(key).isNull(), F.xxhash64(*df.columns)).otherwise(F.lit(0))
+    right = ranked.filter(F.col(key).isNotNull()).withColumn("_spare", F.lit(0).cast("long"))
+    wide = df.withColumn("_spare", spare).join(right, [key, "_spare"], "left").drop("_spare")
     return wide.withColumns({name: F.lit(value) for name, value in (metadata or {}).items()})
 
 

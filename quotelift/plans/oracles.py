@@ -767,7 +767,7 @@ oracle(
         SELECT method, feature, avg(score) AS s FROM scored GROUP BY ALL) JOIN weights USING (method)
         GROUP BY feature)
     SELECT feature, round(score_final, 6) AS score_final,
-           CAST(row_number() OVER (ORDER BY score_final DESC, feature) AS INTEGER) AS rank_final
+           CAST(row_number() OVER (ORDER BY round(score_final, 12) DESC, feature) AS INTEGER) AS rank_final
     FROM final""",
 )
 

@@ -798,13 +798,13 @@ def scale_robust(spark, sf):
 @query
 def kmeans_sweep(spark, sf):
     df = view(spark, sf, "v_entities")
-    return cluster.kmeans_sweep(df, ENTITY_COLS, ks=[2, 3], restarts=2)
+    return cluster.kmeans_sweep(df, ENTITY_COLS)
 
 
 @query
 def kmeans_fit(spark, sf):
     df = entities(spark, sf)
-    fit = cluster.kmeans_fit(df, ENTITY_COLS, 3, "log1p_standard", restarts=3)
+    fit = cluster.kmeans_fit(df, ENTITY_COLS, 3, "log1p_standard")
     return fit.assigned.select("broker_id", "cluster")
 
 
@@ -857,13 +857,8 @@ def label_audit(spark, sf):
 
 @query
 def fs_methods(spark, sf):
-    methods = {
-        "lr_l1": {"maxIter": 20, "regParam": 0.01, "elasticNetParam": 1.0},
-        "rf": {"numTrees": 10, "maxDepth": 5},
-        "gbt": {"maxIter": 5, "maxDepth": 3, "stepSize": 0.1},
-    }
     importances, quality = selection.fs_methods(
-        view(spark, sf, "v_features"), "quote_id", "label", CATEGORICAL, NUMERIC, methods, [42]
+        view(spark, sf, "v_features"), "quote_id", "label", CATEGORICAL, NUMERIC
     )
     scores = selection.rank_score(importances, CATEGORICAL + NUMERIC, ["method", "seed"])
     return selection.ensemble_rank(scores, quality)
@@ -919,20 +914,13 @@ def weighted(spark, sf) -> DataFrame:
     return features.class_weights(view(spark, sf, "v_features"), "label")
 
 
-COMBOS = training.grid([2, 3], [0.1])
-
-
 @query
 def cv_grid(spark, sf):
-    return training.cv_grid(
-        weighted(spark, sf), "quote_id", "label", CATEGORICAL, NUMERIC, COMBOS, iterations=4
-    )
+    return training.cv_grid(weighted(spark, sf), "quote_id", "label", CATEGORICAL, NUMERIC)
 
 
 def trained(spark, sf) -> tuple[training.ScoringSet, DataFrame]:
-    return training.train_final(
-        weighted(spark, sf), "label", CATEGORICAL, NUMERIC, None, COMBOS, iterations=4
-    )
+    return training.train_final(weighted(spark, sf), "label", CATEGORICAL, NUMERIC)
 
 
 @query

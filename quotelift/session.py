@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def get_spark(app: str = "quotelift", master: str | None = None, **conf: str) -> SparkSession:
     """Build a session with the settings the library expects.
@@ -30,15 +27,8 @@ def get_spark(app: str = "quotelift", master: str | None = None, **conf: str) ->
 
 
 def _scratch_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="quotelift-")
-    return _local_roots[app]
+    """``spark.checkpoint.dir``, else the warehouse: folders that all executors share."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -6,10 +6,10 @@ they came with, so no stored row is ever updated.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelift.operators.columns import apply_types
+from quotelift.functions import is_blank
 from quotelift.sources.files import scan_csv
 
 
@@ -29,11 +29,21 @@ def write_new(df: DataFrame, table: str, partition_by: str | None = None) -> Non
     (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(table)
 
 
+def _fitted(name: str, kind: str) -> Column:
+    value = F.col(name).try_cast(kind)
+    refuse = F.raise_error(
+        F.concat(F.lit(f"{name} does not fit {kind}: "), F.col(name).cast("string"))
+    )
+    return F.when(value.isNotNull() | is_blank(name), value).otherwise(refuse)
+
+
 def append_fixed(df: DataFrame, table: str) -> None:
     """First load creates the table, later loads append under its pinned schema.
 
     Columns are matched by name and cast to the stored types; a batch cannot change
-    the schema. A missing column fails the load.
+    the schema. A missing column fails the load, and so does a filled value that does not
+    fit its type, within the write itself: nothing is stored of such a batch.
+    ``columns.count_rejects`` tells which columns are to blame.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -44,7 +54,7 @@ def append_fixed(df: DataFrame, table: str) -> None:
     extra = [c for c in df.columns if c not in pinned.columns]
     if missing or extra:
         raise ValueError(f"batch does not fit {table}: missing {missing}, unexpected {extra}")
-    fitted = apply_types(df, dict(pinned.dtypes)).select(*pinned.columns)
+    fitted = df.select(*[_fitted(c, t).alias(c) for c, t in pinned.dtypes])
     fitted.write.format("parquet").mode("append").saveAsTable(table)
 
 

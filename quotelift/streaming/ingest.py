@@ -6,14 +6,15 @@ loaded once. ``availableNow`` reads what is there and stops.
 
 from __future__ import annotations
 
+import json
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotelift.sources.files import CSV_OPTIONS, FILE_PATTERN, matches, strip_quotes, tag_source
-from quotelift.sources.tables import tag_batch
 
 
 def read_deliveries(
@@ -23,9 +24,13 @@ def read_deliveries(
     pattern: str = FILE_PATTERN,
     max_files: int | None = None,
 ) -> DataFrame:
-    """Stream of tagged rows. ``max_files`` bounds each micro-batch of a backfill."""
+    """Stream of tagged rows. ``max_files`` bounds each micro-batch of a backfill.
+
+    A file whose header differs from the schema fails the stream; its columns would shift.
+    """
     reader = (
         spark.readStream.options(**CSV_OPTIONS)
+        .option("enforceSchema", "false")
         .option("recursiveFileLookup", "true")
         .schema(schema)
     )
@@ -41,17 +46,30 @@ def drop_late_files(df: DataFrame, cutoff: date | None) -> DataFrame:
     return df if cutoff is None else df.filter(F.col("TS_ARQ").cast("date") >= F.lit(cutoff))
 
 
+def _next_run(spark: SparkSession, target: str) -> int:
+    try:
+        last = spark.read.parquet(target).agg(F.max("run_id")).first()[0]
+    except AnalysisException:  # nothing has been loaded yet
+        return 0
+    return 0 if last is None else last + 1
+
+
 def start_ingest(
     stream: DataFrame, target: str, checkpoint: str, cutoff: date | None = None
 ) -> StreamingQuery:
-    """Append every micro-batch to a Parquet folder, one ``batch_id`` folder per batch.
+    """Append every micro-batch to a Parquet folder, below ``stream_id=…/batch_id=…``.
 
-    Overwriting the folder of its own batch makes a repeated micro-batch harmless.
+    Batches are numbered within a checkpoint. The id that Spark keeps in the checkpoint is
+    part of the folder, so a repeated micro-batch replaces its own rows and a stream with a
+    new checkpoint never replaces those of another. All rows of a run carry its ``run_id``;
+    ``new_row_flag(table, "run_id")`` marks them, however many micro-batches it had.
     """
+    run = _next_run(stream.sparkSession, target)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = drop_late_files(tag_batch(batch, batch_id), cutoff)
-        rows.drop("batch_id").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        meta = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()["value"]
+        rows = drop_late_files(batch.withColumn("run_id", F.lit(run).cast("bigint")), cutoff)
+        rows.write.mode("overwrite").parquet(f"{target}/stream_id={json.loads(meta)['id']}/batch_id={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write)

@@ -214,3 +214,17 @@ def test_pearson_is_pairwise(spark):
 def test_label_audit(spark):
     df = spark.createDataFrame([(1.0,), (0.0,), (2.0,), (None,)], "label double")
     assert tuple(selection.label_audit(df, "label").first()) == (4, 2)
+
+
+@pytest.mark.parametrize("partitions", ["1", "4", "17"])
+def test_ensemble_rank_does_not_depend_on_partitions(spark, small, partitions):
+    from quotelift.plans.queries import QUERIES
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = QUERIES["ensemble_rank"](spark, small).orderBy("rank_final").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    keys = [(-round(r["score_final"], 6), r["feature"]) for r in got]
+    assert keys == sorted(keys)

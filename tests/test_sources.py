@@ -137,7 +137,7 @@ def test_stream_reads_each_file_once(spark, folder, tmp_path):
     (tmp_path / "COTACAO_GENERICO_20240401.csv").write_bytes(TEXT.encode("iso-8859-1"))
     after = run()
     assert after.count() == 6
-    newest = tables.new_row_flag(after).filter("FL_NOVO")
+    newest = tables.new_row_flag(after, "run_id").filter("FL_NOVO")
     assert {r["SOURCE_FILE"] for r in newest.collect()} == {"COTACAO_GENERICO_20240401.csv"}
 
 
@@ -151,3 +151,41 @@ def test_materialize_keeps_rows_and_types(spark):
     df = spark.range(5).withColumn("s", F.col("id").cast("string"))
     again = materialize(df, "x")
     assert again.dtypes == df.dtypes and again.count() == 5
+
+
+def deliver(folder, name, text):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_bytes(text.encode("iso-8859-1"))
+
+
+def ingest(spark, folder, target, state):
+    start_ingest(read_deliveries(spark, str(folder), "A string, B string", max_files=1), target, state).awaitTermination()
+    return spark.read.parquet(target)
+
+
+def test_stream_refuses_another_header(spark, tmp_path):
+    deliver(tmp_path / "in", "COTACAO_GENERICO_20240101.csv", "B|A\nx|y\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest(spark, tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state"))
+
+
+def test_new_checkpoint_keeps_old_loads_and_a_run_is_new_as_a_whole(spark, tmp_path):
+    target = str(tmp_path / "out")
+    deliver(tmp_path / "one", "COTACAO_GENERICO_20240101.csv", "A|B\n1|2\n")
+    assert ingest(spark, tmp_path / "one", target, str(tmp_path / "s1")).count() == 1
+    for day in (2, 3):
+        deliver(tmp_path / "two", f"COTACAO_GENERICO_2024010{day}.csv", f"A|B\n{day}|0\n")
+    rows = ingest(spark, tmp_path / "two", target, str(tmp_path / "s2"))
+    assert sorted(r["A"] for r in rows.collect()) == ["1", "2", "3"]
+    newest = tables.new_row_flag(rows, "run_id").filter("FL_NOVO")
+    assert sorted(r["A"] for r in newest.collect()) == ["2", "3"]
+
+
+def test_value_that_does_not_fit_fails_the_load(spark):
+    tables.ensure_schema(spark, "qlt")
+    spark.sql("DROP TABLE IF EXISTS qlt.pinned")
+    tables.append_fixed(spark.createDataFrame([(1,)], "n int"), "qlt.pinned")
+    tables.append_fixed(spark.createDataFrame([("2",), (" ",), (None,)], "n string"), "qlt.pinned")
+    with pytest.raises(Exception, match="n does not fit int: abc"):
+        tables.append_fixed(spark.createDataFrame([("3",), ("abc",)], "n string"), "qlt.pinned")
+    assert sorted(str(r["n"]) for r in spark.table("qlt.pinned").collect()) == ["1", "2", "None", "None"]

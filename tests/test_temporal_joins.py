@@ -108,8 +108,3 @@ def test_retention_three_keys(spark):
     right = spark.createDataFrame([(1, "p", "t", 5), (1, "p", "t", 3), (1, None, "t", 1)], "a int, b string, d string, n int")
     out = joins.join_retention(left, right, ["a", "b", "c"], ["a", "b", "d"], "_det", [F.col("n")])
     assert {r["id"]: r["n_det"] for r in out.collect()} == {1: 3, 3: None, 5: 3}
-
-
-def test_join_audit(spark):
-    out = joins.join_audit({"one": spark.range(3), "two": spark.range(5)})
-    assert sorted(map(tuple, out.collect())) == [("one", 3), ("two", 5)]

@@ -91,3 +91,21 @@ def test_selection_methods(rows):
     assert best["feature"] == "x"
     with pytest.raises(ValueError):
         selection.fs_methods(rows, "id", "label", [], ["x"], {"svm": {}}, [1])
+
+
+def test_rank_refuses_a_repeated_key(spark):
+    rows = spark.createDataFrame([(1, 0.9), (1, 0.2), (2, 0.5)], "k int, p_emitida_m double")
+    with pytest.raises(Exception, match="several rows"):
+        training.rank_models(rows, "k").collect()
+
+
+def test_column_without_values_does_not_stop_the_fits(spark):
+    rows = spark.createDataFrame(
+        [(i, float(i % 2), 1.0, "a" if i % 3 else "b", float(i), None) for i in range(60)],
+        "id long, label double, weight double, c string, x double, empty double",
+    )
+    one = [training.Combo(2, 0.1)]
+    cv = training.cv_grid(rows, "id", "label", ["c"], ["x", "empty"], one, iterations=2)
+    assert cv.count() == 1
+    models, _ = training.train_final(rows, "label", ["c"], ["x", "empty"], None, one, iterations=2)
+    assert models.numeric == ["x"] and training.score_models(rows, models, "id").count() == 60
