@@ -1051,3 +1051,66 @@ oracle(
     SELECT model_id, round(ap, 6) AS ap, round(auc_pr, 6) AS auc_pr, k_pct, p_at_k, r_at_k, lift_at_k
     FROM area JOIN topk USING (model_id) WHERE k_pct = 15""",
 )
+
+# --- fits: what must hold whatever was learned --------------------------------------------
+
+oracle("hash_split_xx", "v_quotes", "SELECT count(*) AS n_rows, count(*) AS n_placed, true AS near_share FROM v_quotes")
+oracle(
+    "stratified_sample",
+    "v_scored",
+    """SELECT label, count(*) AS n_rows, count(DISTINCT quote_id) AS n_quotes, true AS near_share
+       FROM v_scored GROUP BY label""",
+)
+oracle(
+    "feature_vectors",
+    "v_features",
+    """SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS n_widths, 2 * count(*) AS n_hot,
+              round(avg(coalesce(premium, (SELECT avg(premium) FROM v_features))), 6) AS premium_mean,
+              round(avg(coalesce(age, (SELECT avg(age) FROM v_features))), 6) AS age_mean,
+              round(avg(coalesce(days, (SELECT avg(days) FROM v_features))), 6) AS days_mean
+       FROM v_features""",
+)
+oracle(
+    "kmeans_sweep",
+    "",
+    f"""SELECT scaling, CAST(k AS INTEGER) AS k, true AS plausible
+        FROM (VALUES ('standard'), ('log1p_standard'), ('robust')) s(scaling),
+             range({fv.CLUSTER_COUNTS[0]}, {fv.CLUSTER_COUNTS[-1] + 1}) r(k)""",
+)
+oracle(
+    "kmeans_fit",
+    "v_entities",
+    """SELECT count(*) AS n_rows, count(*) AS n_brokers, count(*) AS n_named,
+              CAST(3 AS BIGINT) AS n_clusters FROM v_entities""",
+)
+oracle(
+    "fs_methods",
+    "",
+    f"""SELECT CAST(5 AS BIGINT) AS n_features, CAST(5 AS BIGINT) AS n_ranks, CAST(5 AS BIGINT) AS last_rank,
+               CAST(5 AS BIGINT) AS n_scored, CAST({3 * len(fv.SELECTION_SEEDS)} AS BIGINT) AS n_fits""",
+)
+GRID = ", ".join(
+    f"('d{d}_s{str(s).replace('.', '')}', {d}, {s}::DOUBLE)" for d in fv.GRID_DEPTHS for s in fv.GRID_STEPS
+)
+oracle(
+    "cv_grid",
+    "",
+    f"SELECT *, true AS plausible FROM (VALUES {GRID}) g(model_id, max_depth, step_size)",
+)
+oracle(
+    "train_final",
+    "v_features",
+    f"""SELECT model_id, count(*) AS n_scored, CAST(sum(label) AS BIGINT) AS n_pos, true AS plausible
+        FROM v_features, (VALUES {GRID}) g(model_id, max_depth, step_size) GROUP BY model_id""",
+)
+oracle(
+    "model_roundtrip",
+    "v_features",
+    "SELECT count(*) AS n_rows, CAST(0 AS DOUBLE) AS max_difference FROM v_features",
+)
+oracle(
+    "score_wide",
+    "v_features",
+    f"""SELECT model_id, count(*) AS n_rows, count(*) AS n_scored, count(*) AS n_ranks, count(*) AS last_rank
+        FROM v_features, (VALUES {GRID}) g(model_id, max_depth, step_size) GROUP BY model_id""",
+)

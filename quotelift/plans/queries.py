@@ -140,7 +140,7 @@ def new_row_flag(spark, sf):
 def stream_ingest(spark, sf):
     folder = delivered(spark, sf)
     target, state = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
-    schema = "quote_id bigint, status string, `'channel'` string, quote_date date"
+    schema = "quote_id bigint, status string, channel string, quote_date date"
     for _ in range(2):  # the second run finds nothing new
         start_ingest(read_deliveries(spark, folder, schema, max_files=50), target, state).awaitTermination()
     rows = spark.read.parquet(target)
@@ -662,8 +662,13 @@ def hash_split(spark, sf):
 
 @query
 def hash_split_xx(spark, sf):
+    """The fast hash has no SQL twin: every row is on one side, and a fifth is for validation."""
     df = features.hash_split(view(spark, sf, "v_quotes"), ["quote_id", "status"])
-    return df.select("quote_id", "is_valid")
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("is_valid").alias("n_placed"),
+        (F.abs(F.avg(F.col("is_valid").cast("int")) - 0.2) < 0.05).alias("near_share"),
+    )
 
 
 @query
@@ -674,8 +679,18 @@ def kfold(spark, sf):
 
 @query
 def stratified_sample(spark, sf):
+    """Sample and rest are disjoint and complete in each stratum, and the share is met."""
     df = view(spark, sf, "v_scored")
-    return features.stratified_sample(df, "label", {0: 0.7, 1: 0.7}, 42)
+    sample = materialize(features.stratified_sample(df, "label", {0: 0.7, 1: 0.7}, 42), "sample")
+    rest = features.sample_complement(df, sample, "quote_id")
+    both = sample.select("quote_id", "label", F.lit(1).alias("part")).unionByName(
+        rest.select("quote_id", "label", F.lit(0).alias("part"))
+    )
+    return both.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(F.col("quote_id")).alias("n_quotes"),
+        (F.abs(F.avg("part") - 0.7) < 0.1).alias("near_share"),
+    )
 
 
 @query
@@ -746,11 +761,21 @@ NUMERIC = ["premium", "age", "days"]
 
 @query
 def feature_vectors(spark, sf):
+    """Sums over the vectors: slots per row, set one-hot slots, and the imputed numbers."""
     df = view(spark, sf, "v_features")
     fitted = features.preprocess_stages(CATEGORICAL, NUMERIC).fit(df)
     from pyspark.ml.functions import vector_to_array
 
-    return fitted.transform(df).select("quote_id", vector_to_array("features_vec").alias("slots"))
+    slots = fitted.transform(df).select(vector_to_array("features_vec").alias("v"))
+    hot = F.aggregate(F.slice("v", 1, F.size("v") - len(NUMERIC)), F.lit(0.0), lambda s, x: s + x)
+    number = [F.element_at("v", i - len(NUMERIC)) for i in range(len(NUMERIC))]
+    out = slots.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(F.size("v")).alias("n_widths"),
+        F.sum(hot).cast("bigint").alias("n_hot"),
+        *[F.avg(n).alias(f"{c}_mean") for c, n in zip(NUMERIC, number)],
+    )
+    return rounded(out, *[f"{c}_mean" for c in NUMERIC])
 
 
 # --- clustering -----------------------------------------------------------------------------
@@ -798,14 +823,22 @@ def scale_robust(spark, sf):
 @query
 def kmeans_sweep(spark, sf):
     df = view(spark, sf, "v_entities")
-    return cluster.kmeans_sweep(df, ENTITY_COLS)
+    out = cluster.kmeans_sweep(df, ENTITY_COLS)
+    plausible = (F.col("inertia") > 0) & F.col("silhouette").between(-1, 1)
+    return out.select("scaling", "k", plausible.alias("plausible"))
 
 
 @query
 def kmeans_fit(spark, sf):
     df = entities(spark, sf)
     fit = cluster.kmeans_fit(df, ENTITY_COLS, 3, "log1p_standard")
-    return fit.assigned.select("broker_id", "cluster")
+    named = F.col("cluster").isin("0", "1", "2")
+    return fit.assigned.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(F.col("broker_id")).alias("n_brokers"),
+        F.count_if(named).alias("n_named"),
+        F.count_distinct(F.col("cluster")).alias("n_clusters"),
+    )
 
 
 def fixed_clusters(spark, sf) -> DataFrame:
@@ -861,7 +894,15 @@ def fs_methods(spark, sf):
         view(spark, sf, "v_features"), "quote_id", "label", CATEGORICAL, NUMERIC
     )
     scores = selection.rank_score(importances, CATEGORICAL + NUMERIC, ["method", "seed"])
-    return selection.ensemble_rank(scores, quality)
+    ranked = selection.ensemble_rank(scores, quality)
+    fits = quality.agg(F.count_if(F.col("auc_pr").between(0, 1))).scalar()
+    return ranked.agg(
+        F.count(F.lit(1)).alias("n_features"),
+        F.count_distinct(F.col("rank_final")).alias("n_ranks"),
+        F.max("rank_final").cast("bigint").alias("last_rank"),
+        F.count_if(F.col("score_final").between(0, 1)).alias("n_scored"),
+        fits.alias("n_fits"),
+    )
 
 
 def fixed_importances(spark, sf) -> DataFrame:
@@ -916,16 +957,26 @@ def weighted(spark, sf) -> DataFrame:
 
 @query
 def cv_grid(spark, sf):
-    return training.cv_grid(weighted(spark, sf), "quote_id", "label", CATEGORICAL, NUMERIC)
+    out = training.cv_grid(weighted(spark, sf), "quote_id", "label", CATEGORICAL, NUMERIC)
+    plausible = F.col("auc_pr_mean").between(0, 1) & F.col("auc_pr_std").between(0, 0.5)
+    return out.select("model_id", "max_depth", "step_size", plausible.alias("plausible"))
+
+
+_fitted: dict[tuple[str, str], tuple[training.ScoringSet, DataFrame]] = {}
 
 
 def trained(spark, sf) -> tuple[training.ScoringSet, DataFrame]:
-    return training.train_final(weighted(spark, sf), "label", CATEGORICAL, NUMERIC)
+    """Fitted once per application and folder; three queries look at the same models."""
+    place = (spark.sparkContext.applicationId, sf)
+    if place not in _fitted:
+        _fitted[place] = training.train_final(weighted(spark, sf), "label", CATEGORICAL, NUMERIC)
+    return _fitted[place]
 
 
 @query
 def train_final(spark, sf):
-    return trained(spark, sf)[1]
+    plausible = F.col("ap").between(0, 1) & F.col("auc_pr").between(0, 1)
+    return trained(spark, sf)[1].select("model_id", "n_scored", "n_pos", plausible.alias("plausible"))
 
 
 @query
@@ -941,14 +992,24 @@ def model_roundtrip(spark, sf):
     before = training.score_models(df, fitted, "quote_id")
     after = training.score_models(df, loaded, "quote_id")
     named = after.withColumnsRenamed({c: f"{c}_loaded" for c in after.columns if c != "quote_id"})
-    return before.join(named, "quote_id")
+    scores = [c for c in before.columns if c != "quote_id"]
+    furthest = F.greatest(*[F.abs(F.col(c) - F.col(f"{c}_loaded")) for c in scores])
+    return before.join(named, "quote_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max(furthest).alias("max_difference")
+    )
 
 
 @query
 def score_wide(spark, sf):
     fitted, _ = trained(spark, sf)
     df = view(spark, sf, "v_features")
-    return training.score_wide(df, fitted, "quote_id", {"mode_code": "D", "inf_versao": "1"})
+    wide = training.score_wide(df, fitted, "quote_id", {"mode_code": "D", "inf_versao": "1"})
+    return long_scores(wide, "quote_id").groupBy("model_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("score").between(0, 1)).alias("n_scored"),
+        F.count_distinct(F.col("score_rank")).alias("n_ranks"),
+        F.max("score_rank").cast("bigint").alias("last_rank"),
+    )
 
 
 def wide_scores(spark, sf) -> DataFrame:
