@@ -1,15 +1,16 @@
-"""End-to-end flows: clean, join and segment, prepare, cluster, train, score, compare."""
+"""End-to-end flows: load, clean, join and segment, prepare, cluster, train, score, compare."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelift.operators import cluster as clustering
-from quotelift.operators import evaluation, training
+from quotelift.operators import evaluation, temporal, training
 from quotelift.operators.columns import blanks_to_null, cast_double, unpivot_scores
 from quotelift.operators.features import FeaturePlan, class_weights, fit_features
 from quotelift.operators.profile import entity_profile
@@ -17,10 +18,111 @@ from quotelift.plans import catalog
 from quotelift.plans import fixed_values as fv
 from quotelift.plans.rules import LogEntry, apply_rules
 from quotelift.session import materialize
+from quotelift.sources import files, tables
 
 Toggles = Mapping[str, Mapping[str, bool]]
 
 
+def load_deliveries(spark: SparkSession, folder: str, bronze: str, limit: int | None = None) -> DataFrame | None:
+    """Append the deliveries not loaded yet to the bronze table; their rows, None if none is new.
+
+    A delivery is new if its name is not in the table and it is not older than the newest
+    one there. Values stay text; a load carries one ``batch_id``.
+    """
+    loaded = cutoff = None
+    if spark.catalog.tableExists(bronze):
+        known = spark.table(bronze)
+        loaded, cutoff = files.loaded_files(known), files.high_water_mark(known).scalar()
+    todo = files.incremental_candidates(files.list_files(spark, folder), loaded, cutoff, limit)
+    rows = files.ingest_files(spark, todo)
+    if rows is None:
+        return None
+    batch = tables.next_batch_id(spark, bronze)
+    tables.append_fixed(tables.tag_batch(rows, batch), bronze)
+    return spark.table(bronze).filter(F.col("batch_id") == batch)
+
+
+def refresh_latest(
+    history: DataFrame,
+    batch: DataFrame,
+    path: str,
+    key: str,
+    ts: str,
+    tie: str,
+    status: str,
+    entries: Mapping[str, str],
+    columns: Sequence[str],
+    buckets: int = 64,
+) -> DataFrame:
+    """Bring the table of latest snapshots and entry times up to date with a load.
+
+    Only keys of the load are recomputed, over their whole history. The table is kept in
+    ``buckets`` folders by hash of the key, and only folders with a key of the load are
+    written again; size them so that one is read and written quickly.
+    """
+    spark = history.sparkSession
+    home = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+    again = temporal.latest_with_entries(
+        temporal.touched_history(history, batch, key), key, ts, tie, status, entries, columns
+    )
+    try:
+        published = spark.read.parquet(path)
+    except AnalysisException:  # the first load
+        published = None
+    if published is not None:
+        # at most one number per folder
+        touched = [r["bucket"] for r in batch.select(home).distinct().collect()]
+        kept = published.filter(F.col("bucket").isin(touched)).drop("bucket")
+        again = temporal.publish_latest(kept.select(*again.columns), again, batch, key)
+    again = materialize(again.select("*", home), "latest")
+    again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    return spark.read.parquet(path).drop("bucket")
+
+
+def age_latest(
+    latest: DataFrame, ts: str, status: str, stale_days: int = fv.STALE_DAYS
+) -> DataFrame:
+    """Close stale open rows and add the reference date, as of the newest time of the table.
+
+    The table holds one row per key, so its newest time is that of the whole history, and
+    open rows that no load has touched grow stale with it.
+    """
+    idle = temporal.days_since_update(latest, latest, ts, "days_idle")
+    closed = temporal.stale_to_lost(
+        idle, status, "days_idle", fv.OPEN_STATUSES, stale_days, fv.LOST, "status_old", "was_stale"
+    )
+    date = temporal.reference_date(status, "was_stale", ts, "issued_at", "lost_at", fv.ISSUED, fv.LOST)
+    return closed.withColumn("ref_date", date)
+
+
+def incremental_clean(
+    spark: SparkSession,
+    folder: str,
+    bronze: str,
+    path: str,
+    typed: Callable[[DataFrame], DataFrame],
+    key: str,
+    ts: str,
+    tie: str,
+    status: str,
+    columns: Sequence[str],
+    stale_days: int = fv.STALE_DAYS,
+) -> DataFrame:
+    """One scheduled run: load new deliveries, refresh the touched keys, age all rows.
+
+    ``typed`` turns bronze text rows into the history that the temporal rule reads. Without
+    a new delivery the table is only aged again.
+    """
+    entries = {"issued_at": fv.ISSUED, "lost_at": fv.LOST}
+    new = load_deliveries(spark, folder, bronze)
+    if new is None:
+        latest = spark.read.parquet(path).drop("bucket")
+    else:
+        history = typed(spark.table(bronze))
+        latest = refresh_latest(history, typed(new), path, key, ts, tie, status, entries, columns)
+    return age_latest(latest, ts, status, stale_days)
+
+
 def clean_quotes(
     bronze: DataFrame,
     house: str = "",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -414,6 +415,37 @@ def temporal_incremental(spark, sf):
     )
 
 
+@query
+def incremental_clean(spark, sf):
+    """Snapshots arrive as daily deliveries in two runs; the second recomputes what it touches."""
+    folder, path = scratch_path(spark, "daily"), scratch_path(spark, "published")
+    bronze = f"daily_{uuid.uuid4().hex}"
+    name = F.concat(F.lit("COTACAO_GENERICO_"), F.date_format("day", "yyyyMMdd"), F.lit(".csv"))
+    history = view(spark, sf, "v_snapshots").select("quote_id", "event_id", "status", "ts_arq", "day")
+    text = history.withColumn("ts_arq", F.date_format("ts_arq", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    middle = history.agg(F.date_from_unix_date(F.avg(F.unix_date("day")).cast("int")).alias("d")).scalar()
+
+    def typed(df: DataFrame) -> DataFrame:
+        # TS_ARQ of the load is the day of the delivery; the snapshot has its own time
+        return df.select(
+            F.col("quote_id").cast("bigint").alias("quote_id"),
+            F.col("event_id").cast("bigint").alias("event_id"),
+            F.coalesce("status", F.lit("")).alias("status"),  # an empty field is read as NULL
+            F.to_timestamp("seen_at").alias("ts_arq"),
+        )
+
+    out = None
+    for part in (F.col("day") <= middle, F.col("day") > middle):
+        rows = text.filter(part).select("quote_id", "event_id", "status", F.col("ts_arq").alias("seen_at"), "day")
+        files.write_delivery(rows, f"{folder}/{uuid.uuid4().hex}", name)
+        out = flows.incremental_clean(
+            spark, folder, bronze, path, typed, "quote_id", "ts_arq", "event_id", "status",
+            ["quote_id", "event_id", "status", "ts_arq"], STALE_DAYS,
+        )
+    spark.sql(f"DROP TABLE {bronze}")
+    return out.select("quote_id", "event_id", "status", "was_stale", "days_idle", "ref_date")
+
+
 @query
 def clean_quotes(spark, sf):
     """All cleaning rules of the quote table on raw snapshots."""
