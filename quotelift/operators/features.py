@@ -166,19 +166,24 @@ class FeaturePlan:
 
 
 def fit_features(
-    model: DataFrame, candidates: Mapping[str, bool], toggles: Mapping[str, bool] | None = None
+    model: DataFrame,
+    candidates: Mapping[str, bool],
+    toggles: Mapping[str, bool] | None = None,
+    counted: Sequence[str] = (),
 ) -> FeaturePlan:
     """Learn null-heavy drops, truncation lists and constant drops on the model rows.
 
     ``candidates`` switches features on or off; type decides categorical or numeric.
-    Toggles ``PP_R04``, ``PP_R05``, ``PP_R06`` switch the three steps.
+    Toggles ``PP_R04``, ``PP_R05``, ``PP_R06`` switch the three steps. ``counted`` names
+    text columns that hold numbers: they are numeric features and never truncated, since
+    training and scoring cast them alike.
     """
     on = {"PP_R04": True, "PP_R05": True, "PP_R06": True, **(toggles or {})}
     enabled = [c for c, use in candidates.items() if use and c in model.columns]
     text = set(string_columns(model))
     nulls = null_heavy(model, enabled) if on["PP_R04"] and enabled else []
-    categorical = [c for c in enabled if c in text and c not in nulls]
-    numeric = [c for c in enabled if c not in text and c not in nulls]
+    categorical = [c for c in enabled if c in text and c not in nulls and c not in counted]
+    numeric = [c for c in enabled if (c not in text or c in counted) and c not in nulls]
     lists = truncate_fit(model, categorical) if on["PP_R05"] else {}
     plan = FeaturePlan(categorical, numeric, lists, nulls)
     if on["PP_R06"] and categorical:

@@ -319,6 +319,12 @@ def join_rules(summary: DataFrame, detail: DataFrame) -> list[Rule]:
     ]
 
 
+def renewal_spellings(house: str = "") -> list[str]:
+    """Lower-case spellings of a renewal in the source, with and without the house suffix."""
+    tail = house.strip("_ ").lower()
+    return [*fv.SEGMENT_RENEWAL_WORDS, *([f"{w} {tail}" for w in fv.SEGMENT_RENEWAL_WORDS] if tail else [])]
+
+
 def segment_rules(renewal_words: Sequence[str] = tuple(fv.SEGMENT_RENEWAL_WORDS)) -> list[Rule]:
     inputs = ["CANAL", "DS_TIPO_COTACAO"]
     return [

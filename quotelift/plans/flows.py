@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 
 from quotelift.operators import cluster as clustering
 from quotelift.operators import evaluation, temporal, training
-from quotelift.operators.columns import blanks_to_null, cast_double, unpivot_scores
+from quotelift.operators.columns import (
+    blanks_to_null,
+    cast_double,
+    infer_numeric_types,
+    unpivot_scores,
+)
 from quotelift.operators.features import FeaturePlan, class_weights, fit_features
 from quotelift.operators.profile import entity_profile
 from quotelift.plans import catalog
@@ -157,9 +162,14 @@ def join_and_segment(
     detail: DataFrame,
     toggles: Toggles | None = None,
     count_rows: bool = False,
+    house: str = "",
     **segment_options,
 ) -> tuple[DataFrame, list[LogEntry]]:
-    """Both retention joins, then the segment column; one lazy plan."""
+    """Both retention joins, then the segment column; one lazy plan.
+
+    ``house`` gives the renewal spellings of the source unless they are named.
+    """
+    segment_options.setdefault("renewal_words", catalog.renewal_spellings(house))
     joined, log = apply_rules(
         quotes, catalog.join_rules(summary, detail), "post_join", toggles, count_rows=count_rows
     )
@@ -188,8 +198,12 @@ def training_data(
     months: tuple[str, ...] | None = None,
     fn: str = "xxhash64",
     toggles: Toggles | None = None,
+    codes: Sequence[str] = (),
 ) -> TrainingData:
-    """Model and validation rows with features learned on the model rows only."""
+    """Model and validation rows with features learned on the model rows only.
+
+    Text candidates that hold only numbers are numeric features, but for those in ``codes``.
+    """
     rules = catalog.training_rules() if months is None else catalog.training_rules(months)
     df, log = apply_rules(segmented, rules, "rules_on_df_seg", toggles)
     base, more = apply_rules(df, catalog.split_rules(house, fn), "rules_build_base", toggles)
@@ -199,7 +213,9 @@ def training_data(
     valid, more = apply_rules(base, catalog.part_rules(True), "rules_build_df_validacao", toggles)
     log += more
     prep = (toggles or {}).get("rules_feature_prep")
-    features = fit_features(model, candidates, prep)
+    wanted = [c for c, use in candidates.items() if use and c in model.columns]
+    types = infer_numeric_types(blanks_to_null(model.select(*wanted)), codes) if wanted else {}
+    features = fit_features(model, candidates, prep, list(types))
     return TrainingData(features.apply(model), features.apply(valid), features, log)
 
 

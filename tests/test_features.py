@@ -228,3 +228,10 @@ def test_ensemble_rank_does_not_depend_on_partitions(spark, small, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     keys = [(-round(r["score_final"], 6), r["feature"]) for r in got]
     assert keys == sorted(keys)
+
+
+def test_numbers_kept_as_text_are_not_truncated(spark):
+    rows = spark.createDataFrame([(str(i), f"p{i % 3}") for i in range(40)], "qty string, product string")
+    plan = features.fit_features(rows, {"qty": True, "product": True}, counted=["qty"])
+    assert plan.numeric == ["qty"] and plan.categorical == ["product"] and "qty" not in plan.lists
+    assert plan.apply(rows).select("qty").distinct().count() == 40

@@ -106,3 +106,8 @@ def test_house_suffix(spark):
     assert rules[2].requires[1] == "CD_NUMERO_COTACAO_X"
     df = spark.createDataFrame([("1", "2", "3")], "CD_FILIAL_X string, DS_FAROL string, K string")
     assert rules[8].fn(df).columns == ["K"]
+
+
+def test_renewal_spellings_follow_the_house():
+    assert catalog.renewal_spellings() == ["renovação", "renovacao"]
+    assert catalog.renewal_spellings("_X")[2:] == ["renovação x", "renovacao x"]
