@@ -233,14 +233,19 @@ def _alike(weight_a: str, weight_b: str, sketch_a: str, sketch_b: str) -> Column
     return sizes & (_agree(F.col(sketch_a), F.col(sketch_b)) >= SKETCH_LEAST)
 
 
-def _similar(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that weights and sketches do not rule out."""
+    side = nodes.select("node", "weight", "sketch")
+    near = pairs.join(side.toDF("a", "weight_a", "sketch_a"), "a").join(side.toDF("b", "weight_b", "sketch_b"), "b")
+    near = near.filter(_alike("weight_a", "weight_b", "sketch_a", "sketch_b")).select("a", "b")
+    return materialize(near, "near-pairs")
+
+
+def _similar(near: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose weighted Jaccard is at least the threshold, counted exactly.
 
     Neither pairs nor texts have a bound, so their joins are sort-merge joins at any size.
     """
-    side = nodes.select("node", "weight", "sketch")
-    near = pairs.join(side.toDF("a", "weight_a", "sketch_a"), "a").join(side.toDF("b", "weight_b", "sketch_b"), "b")
-    near = materialize(near.filter(_alike("weight_a", "weight_b", "sketch_a", "sketch_b")).select("a", "b"), "near-pairs")
     text = texts.select("doc_id", "text")
     full = near.join(text.toDF("a", "text_a").hint("merge"), "a").join(text.toDF("b", "text_b").hint("merge"), "b")
 
@@ -352,11 +357,14 @@ def classes(docs: DataFrame) -> DataFrame:
     needed = members.select(F.col("node").alias("doc_id")).distinct()
     kept = texts.filter("text is not null").join(needed.hint("merge"), "doc_id", "left_semi")
     kept = materialize(kept.dropDuplicates(["doc_id"]), "bucket-texts")
-    links = _similar(stars, nodes, kept)
-    second = materialize(_second_round(members, nodes, components(links), kept), "second-round")
-    second = second.join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(_similar(second, nodes, kept))
-    found = components(links.unionByName(exact)).withColumnRenamed("node", "doc_id")
+    links = _similar(_near(stars, nodes), kept)
+    early = materialize(components(links), "components")
+    second = materialize(_second_round(members, nodes, early, kept), "second-round")
+    second = materialize(second.join(stars, ["a", "b"], "left_anti"), "second-pairs")
+    # what is connected already goes on as stars
+    joined = early.select(F.col("node").alias("a"), F.col("component_id").alias("b"))
+    joined = joined.unionByName(_similar(second, kept)).unionByName(exact)
+    found = components(joined).withColumnRenamed("node", "doc_id")
     own = marked.select("doc_id", "digest").join(same.select("digest", "n_copies"), "digest")
     own = own.groupBy("doc_id").agg(F.max("n_copies").alias("n_copies")).join(found, "doc_id", "left")
     return texts.select("doc_id").join(own, "doc_id", "left").select(
