@@ -38,7 +38,7 @@ BASE, PAIRS = 1.5, 0.4
 PROBES = 6
 BITS_PER_ENTRY = PROBES / np.log(2)
 MAX_LEVEL = 60
-MAX_FILTER_BYTES = 256 << 20
+MAX_FILTER_BYTES = 128 << 20
 #: Words whose exact counts are broadcast; rarer ones are joined.
 MAX_EXACT = 2_000_000
 #: Tokens counted together, and texts per part.
@@ -218,32 +218,32 @@ def built(packed: DataFrame) -> DataFrame:
     return packed.repartition("part").mapInPandas(run, _BUILT)
 
 
-def _filters(model: DataFrame, parts: int, limit: int) -> Iterator[tuple[Filter, Filter]]:
-    """(words, pairs): pieces of both filters over the same parts, ``limit`` bytes at a time."""
-    sizes = dict(
-        ((r["part"], r["pairs"]), r["n_bytes"]) for r in model.select("part", "pairs", "n_bytes").toLocalIterator()
-    )
-    first = 0
-    while first < parts:
-        last, total = first, 0
-        while last < parts:
-            more = sizes.get((last, False), 8) + sizes.get((last, True), 8)
-            if total + more > limit and last > first:
-                break
-            total, last = total + more, last + 1
-        rows = {
-            (r["part"], r["pairs"]): np.frombuffer(r["bits"], np.uint8)
-            for r in model.filter(F.col("part").between(first, last - 1)).select("part", "pairs", "bits").collect()
-        }
-        both = []
-        for pairs in (False, True):
-            bits = [rows.get((p, pairs), np.zeros(8, np.uint8)) for p in range(first, last)]
-            length = np.array([len(b) for b in bits], np.int64)
-            both.append(
-                Filter(parts, first, np.cumsum(length) - length, (length * 8).astype(np.uint64), np.concatenate(bits))
-            )
-        yield tuple(both)
-        first = last
+def _ranges(model: DataFrame, parts: int, limit: int) -> list[tuple[int, int]]:
+    """Ranges of parts whose pieces of both filters take ``limit`` bytes at most."""
+    sizes = model.groupBy("part").agg(F.sum("n_bytes").alias("n")).toLocalIterator()
+    size = {r["part"]: r["n"] for r in sizes}
+    ranges, first, total = [], 0, 0
+    for part in range(parts):
+        more = size.get(part, 16)
+        if part > first and total + more > limit:
+            ranges.append((first, part))
+            first, total = part, 0
+        total += more
+    return [*ranges, (first, parts)]
+
+
+def _pieces(model: DataFrame, parts: int, first: int, last: int) -> tuple[Filter, Filter]:
+    """The filters of words and of pairs over the parts from ``first`` to before ``last``."""
+    both = []
+    for pairs in (False, True):
+        rows = model.filter(F.col("part").between(first, last - 1) & (F.col("pairs") == pairs))
+        found = {r["part"]: np.frombuffer(r["bits"], np.uint8) for r in rows.select("part", "bits").collect()}
+        bits = [found.get(p, np.zeros(8, np.uint8)) for p in range(first, last)]
+        length = np.array([len(b) for b in bits], np.int64)
+        both.append(
+            Filter(parts, first, np.cumsum(length) - length, (length * 8).astype(np.uint64), np.concatenate(bits))
+        )
+    return both[0], both[1]
 
 
 def _exact(model: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -320,14 +320,12 @@ def scores(
     state = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text").withColumn(
         "levels", F.lit(None).cast("binary")
     )
-    filters = _filters(model, parts, max_filter_bytes)
-    now = next(filters)
-    while now is not None:
-        after = next(filters, None)
-        step = _pass(spark.sparkContext.broadcast(now), exact, total, after is None, complete)
-        schema = (_SCORED if after is None else _STATE).format(id=kind)
+    for first, last in _ranges(model, parts, max_filter_bytes):
+        pieces = spark.sparkContext.broadcast(_pieces(model, parts, first, last))
+        step = _pass(pieces, exact, total, last == parts, complete)
+        schema = (_SCORED if last == parts else _STATE).format(id=kind)
         state = materialize(state.mapInArrow(step, schema), "scores")
-        now = after
+        pieces.destroy()
     found = state
     if not complete:
         rare = state.select("row_id", F.explode("rare").alias("h")).groupBy("row_id", "h").agg(F.count("*").alias("n"))
