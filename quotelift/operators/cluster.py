@@ -8,14 +8,14 @@ from dataclasses import dataclass
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelift.operators.columns import replace_columns
 from quotelift.operators.ordering import exact_quantiles
 from quotelift.operators.profile import features_long
 from quotelift.plans import fixed_values as fv
-from quotelift.session import materialize
+from quotelift.session import load_note, materialize, save_note
 
 CONSTANT = 1e-12  # relative deviation under which a feature counts as constant
 SCALINGS = ("standard", "log1p_standard", "robust")
@@ -180,6 +180,27 @@ def kmeans_fit(
     return ClusterFit(scaler, model, assigned, inertia, quality)
 
 
+def save_clusters(fit: ClusterFit, path: str) -> None:
+    """Scaler and centres, enough to label entities in another session."""
+    fit.model.write().overwrite().save(f"{path}/kmeans")
+    kept = {"strategy": fit.scaler.strategy, "params": dict(fit.scaler.params)}
+    save_note(SparkSession.active(), kept, f"{path}/scaler")
+
+
+def load_clusters(path: str) -> tuple[Scaler, KMeansModel]:
+    kept = load_note(SparkSession.active(), f"{path}/scaler")
+    params = {c: (center, width) for c, (center, width) in kept["params"].items()}
+    return Scaler(kept["strategy"], params), KMeansModel.load(f"{path}/kmeans")
+
+
+def label_entities(df: DataFrame, scaler: Scaler, model: KMeansModel) -> DataFrame:
+    """Add the cluster as text; features must be filled as they were for the fit."""
+    named = {c: f"_s_{c}" for c in scaler.params}
+    scaled = df.withColumns({named[c]: scaler.scaled(c) for c in named})
+    found = model.transform(_vectors(scaled, list(named.values())))
+    return found.withColumn("cluster", F.col("cluster").cast("string")).select(*df.columns, "cluster")
+
+
 def attach_cluster(df: DataFrame, assigned: DataFrame, entity: str, out: str) -> DataFrame:
     """Left join of the cluster label; entities without a cluster keep NULL."""
     labels = assigned.filter(F.col(entity).isNotNull()).select(

@@ -10,7 +10,7 @@ from statistics import fmean, pstdev
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelift.operators.columns import blanks_to_null, cast_double, unpivot_scores
@@ -18,7 +18,7 @@ from quotelift.operators.evaluation import average_precision
 from quotelift.operators.features import all_null_columns, kfold, preprocess_stages, truncate_apply
 from quotelift.operators.ordering import local_rank
 from quotelift.plans import fixed_values as fv
-from quotelift.session import materialize, spread
+from quotelift.session import load_note, materialize, save_note, spread
 
 
 @dataclass(frozen=True)
@@ -150,12 +150,23 @@ def train_final(
 
 
 def save_models(models: ScoringSet, path: str) -> None:
+    """All that scoring needs: one folder per model, and features, lists and ids beside them."""
     for model_id, model in models.models.items():
         model.write().overwrite().save(f"{path}/{model_id}")
-
-
-def load_models(path: str, model_ids: Sequence[str]) -> dict[str, PipelineModel]:
-    return {m: PipelineModel.load(f"{path}/{m}") for m in model_ids}
+    kept = {
+        "categorical": list(models.categorical),
+        "numeric": list(models.numeric),
+        "lists": {c: list(v) for c, v in models.lists.items()},
+        "model_ids": list(models.models),
+    }
+    save_note(SparkSession.active(), kept, f"{path}/scoring_set")
+
+
+def load_models(path: str) -> ScoringSet:
+    """The scoring set of a folder; nothing of the session that trained it is needed."""
+    kept = load_note(SparkSession.active(), f"{path}/scoring_set")
+    models = {m: PipelineModel.load(f"{path}/{m}") for m in kept["model_ids"]}
+    return ScoringSet(kept["categorical"], kept["numeric"], kept["lists"], models)
 
 
 def prepare_scoring(df: DataFrame, models: ScoringSet) -> DataFrame:

@@ -1017,9 +1017,7 @@ def model_roundtrip(spark, sf):
     fitted, _ = trained(spark, sf)
     path = scratch_path(spark, "models")
     training.save_models(fitted, path)
-    loaded = training.ScoringSet(
-        fitted.categorical, fitted.numeric, fitted.lists, training.load_models(path, list(fitted.models))
-    )
+    loaded = training.load_models(path)
     df = view(spark, sf, "v_features")
     before = training.score_models(df, fitted, "quote_id")
     after = training.score_models(df, loaded, "quote_id")

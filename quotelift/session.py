@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def save_note(spark: SparkSession, value: dict, path: str) -> None:
+    """A small dictionary as one JSON text; numbers come back exactly."""
+    frame = spark.createDataFrame([(json.dumps(value),)], "value string")
+    frame.coalesce(1).write.mode("overwrite").text(path)
+
+
+def load_note(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path).first()["value"])
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Even partitions for frames that an iterative fit reads many times.
 

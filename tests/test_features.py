@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quotelift.functions import fold_of, hash_fraction
 from quotelift.operators import cluster, features, profile, selection
+from quotelift.session import scratch_path
 
 
 def test_split_is_stable_and_complete(spark):
@@ -177,6 +178,14 @@ def test_kmeans(spark, blobs):
     assert sweep[1]["inertia"] < sweep[0]["inertia"] and sweep[1]["silhouette"] > sweep[0]["silhouette"]
 
 
+def test_reloaded_clusters_give_the_same_labels(spark, blobs):
+    fit = cluster.kmeans_fit(blobs, ["a", "b"], 3, "log1p_standard", restarts=1)
+    path = scratch_path(spark, "clusters")
+    cluster.save_clusters(fit, path)
+    again = cluster.label_entities(blobs, *cluster.load_clusters(path))
+    assert again.exceptAll(fit.assigned.select(*again.columns)).count() == 0
+
+
 def test_rank_score_and_ensemble(spark):
     rows = [("m1", 1, "a", 3.0), ("m1", 1, "b", 1.0), ("m1", 1, "b", 4.0), ("m1", 1, "c", 0.0), ("m2", 1, "a", 1.0)]
     found = spark.createDataFrame(rows, "method string, seed int, feature string, importance double")

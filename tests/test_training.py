@@ -68,8 +68,9 @@ def test_scoring_truncates_like_training(spark, fitted):
 def test_reload_gives_equal_scores(spark, rows, fitted):
     path = scratch_path(spark, "models")
     training.save_models(fitted[0], path)
-    again = training.ScoringSet(
-        fitted[0].categorical, fitted[0].numeric, fitted[0].lists, training.load_models(path, list(fitted[0].models))
+    again = training.load_models(path)
+    assert (again.categorical, again.numeric, again.lists) == (
+        fitted[0].categorical, fitted[0].numeric, fitted[0].lists
     )
     a = training.score_models(rows, fitted[0], "id")
     b = training.score_models(rows, again, "id")
