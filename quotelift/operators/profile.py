@@ -34,27 +34,36 @@ def rows_by_quote_date(df: DataFrame, date: str) -> DataFrame:
 
 
 def profile_nulls(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Per column: rows, NULL-or-blank rows and, for key columns, distinct values."""
+    """Per column: rows, NULL-or-blank rows and, for key columns, distinct values.
+
+    Values of the keys are counted from (column, value) pairs, which are combined on the
+    map side; several distinct counts in one aggregate would copy every row per key.
+    """
+    keys = [c for c in keys if c in df.columns]
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(df.columns):
         aggs.append(F.count_if(~filled(df, c)).alias(f"e{i}"))
         if c in keys:
-            aggs.append(F.count_distinct(F.col(c)).alias(f"d{i}"))
-            aggs.append(F.max(F.col(c).isNull()).alias(f"h{i}"))
-    one = df.agg(*aggs)
+            aggs.append(F.coalesce(F.max(F.col(c).isNull()), F.lit(False)).alias(f"h{i}"))
     entries = []
     for i, c in enumerate(df.columns):
-        # a NULL key counts as one more distinct value
-        distinct = F.col(f"d{i}") + F.col(f"h{i}").cast("bigint") if c in keys else F.lit(None)
         entries.append(
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.col("n").alias("n_rows"),
                 F.col(f"e{i}").alias("n_empty"),
-                distinct.cast("bigint").alias("n_distinct"),
+                # a NULL key counts as one more distinct value
+                (F.col(f"h{i}") if c in keys else F.lit(None)).cast("bigint").alias("_more"),
             )
         )
-    return one.select(F.inline(F.array(*entries)))
+    out = df.agg(*aggs).select(F.inline(F.array(*entries)))
+    if not keys:
+        return out.withColumnRenamed("_more", "n_distinct")
+    counted = cardinality(df, keys).withColumnRenamed("n_distinct", "_distinct")
+    distinct = F.col("_more") + F.coalesce(F.col("_distinct"), F.lit(0))
+    return out.join(counted, "column_name", "left").select(
+        "column_name", "n_rows", "n_empty", distinct.alias("n_distinct")
+    )
 
 
 def segment_counts(df: DataFrame, segment: str) -> DataFrame:
