@@ -13,8 +13,9 @@ Backpointers are kept until all paths that can still go on meet in one boundary;
 before it are final and leave. Memory is bounded by the distance between such meetings, not by
 the length of the text. The ids are those of the library that made the model.
 
-Where no piece of the vocabulary crosses (a space after another character, and the control
-characters that no longer piece contains), all paths meet by themselves. The stretches between
+Where no piece of the vocabulary crosses (a space after another character, the control
+characters that no longer piece contains, and most punctuation after a letter or digit), all
+paths meet by themselves. The stretches between
 such places recur, so their ids are worked out once and remembered, up to a bound.
 
 The model file is read on the driver and broadcast: its pieces (checked against
@@ -29,6 +30,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain, pairwise
 from pathlib import Path
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,8 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 MAX_PIECES = 1_000_000
-#: Stretches remembered per task, and the longest that is remembered.
-REMEMBERED, LONGEST = 400_000, 64
+#: Stretches and pairs remembered per Python worker, and the longest that is remembered.
+REMEMBERED, LONGEST = 1_000_000, 64
 #: A character without piece costs so much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -59,6 +61,7 @@ class Vocabulary:
     reach: int
     worst: float
     apart: str
+    after: str
     spaces_first: bool
     merging: bool
 
@@ -90,6 +93,7 @@ class Vocabulary:
                 ids[piece] = (i, model.get_score(i))
                 raw.append(piece.replace(SPACE, " ").encode())
         long = [p for p in ids if len(p) > 1]
+        beside = {pair for p in long for pair in pairwise(p)}
         return Vocabulary(
             ids,
             {p[i:]: ids.get(p[i:]) for p in ids for i in range(len(p))},
@@ -99,6 +103,7 @@ class Vocabulary:
             max(map(len, ids)),
             min(s for _, s in ids.values()) - UNKNOWN_PENALTY,
             "".join(c for c in "\n\r\t" if not any(c in p for p in long)),
+            "".join(c for c in punctuation if not any(b == c and a.isalnum() for a, b in beside)),
             not any(SPACE in p.lstrip(SPACE) for p in long),
             kinds.model_type == kinds.BPE,
         )
@@ -126,7 +131,7 @@ class Neighbours(dict):
         return self.halves[piece]
 
     def __missing__(self, pair: tuple[str, str]) -> bool:
-        if len(self) >= REMEMBERED:
+        if len(self) >= REMEMBERED // 2:
             self.clear()
         value = self[pair] = self.stay(*pair)
         return value
@@ -220,15 +225,54 @@ class Encoder:
 
     def __init__(self, vocab: Vocabulary):
         self.vocab, self.known, self.stay = vocab, {}, Neighbours(vocab)
-        apart = re.escape(vocab.apart)
-        space = f" *[^ {apart}]+| +" if vocab.spaces_first else f"[^{apart}]+" if apart else "(?s:.+)"
-        self.split = re.compile(f"[{apart}]|{space}" if apart else space).findall
+        if vocab.spaces_first:
+            apart, after = re.escape(vocab.apart), re.escape(vocab.after)
+            plain = f"[^ {apart}{after}]*"
+            # a stretch goes on over such punctuation only where it follows no letter or digit
+            run = rf" *[^ {apart}]{plain}" + (rf"(?:(?<![^\W_])[{after}]{plain})*" if after else "")
+            self.split = re.compile((f"[{apart}]|" if apart else "") + f"{run}| +").findall
+        else:
+            self.split = lambda text: [text]
+
+    def _merged(self, text: str) -> list[int]:
+        """What ``viterbi`` does for a merging model, on a text that is at hand as a whole."""
+        get, stay, reach = self.vocab.ends.get, self.stay, self.vocab.reach
+        last, back = [""], [(0, -1)]
+        for end in range(1, len(text) + 1):
+            for start in range(end - 1, max(-1, end - 1 - reach), -1):
+                piece = text[start:end]
+                found = get(piece, 0)
+                if found == 0:
+                    start = -1
+                    break
+                if found is not None and stay[last[start], piece]:
+                    last.append(piece)
+                    back.append((start, found[0]))
+                    break
+            else:
+                start = -1
+            if start < 0:
+                last.append("")
+                back.append((end - 1, -1))
+        ids, end = [], len(text)
+        while end:
+            start, piece = back[end]
+            if piece >= 0:
+                ids.append(piece)
+            elif self.vocab.byte_ids:
+                ids.extend(self.vocab.byte_ids[b] for b in reversed(text[start:end].encode("utf-8", "surrogatepass")))
+            else:
+                ids.append(self.vocab.unknown)
+            end = start
+        ids.reverse()
+        return ids
 
     def stretch(self, text: str) -> tuple[int, ...]:
         ids = self.known.get(text)
         if ids is None:
-            ids = tuple(viterbi(text.replace(" ", SPACE), self.vocab, self.stay))
-            if len(text) <= LONGEST:
+            marked, short = text.replace(" ", SPACE), len(text) <= LONGEST
+            ids = tuple(self._merged(marked) if short and self.vocab.merging else viterbi(marked, self.vocab, self.stay))
+            if short:
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
                 self.known[text] = ids
