@@ -1,12 +1,12 @@
 """HTML extraction by template deduction from equivalence classes of tokens.
 
-Pages of one host are filled-in copies of a template. A token is a tag or a word together with
-the elements it stands in. Tokens that occur equally often on every page of a host (the same
+Pages of one host are filled-in copies of a template. A token is a tag or the text of a block
+(between two tags that are not inline) together with the elements it stands in. Tokens that occur equally often on every page of a host (the same
 occurrence vector) and on nearly all of its pages form a class; a class is valid if its tokens
 come in the same order on all pages, once per round, and if all of it lies in one gap of the
 root class (whose tokens come exactly once per page). The valid classes are the host's
 template; what stands between their tokens are its slots. The main text of a page are the
-blocks of its article (or, without one, of the page) that hold anything but template, without
+blocks of its article (or, without one, of the page) that are not template, without
 those that stand in menus, headers, footers, sidebars, notices, adverts, forms and comments.
 
 Occurrence vectors are never built: per (host, token) two sums of hashed (page, count) stand
@@ -83,12 +83,12 @@ class _Hashes(dict):
         return value
 
 
-def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str, int, int]]]:
-    """(tokens in page order, main blocks): a block is (text, first token, token behind it)."""
+def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str, int]]]:
+    """(tokens in page order, main blocks): a block is (text, place of its token)."""
     stack: list[tuple[str, str, int]] = []  # (element, label, where: 0 text, 1 other, 2 comments)
     paths, words = [0], []
     tokens: list[int] = []
-    blocks: list[tuple[str, int, int, bool, int, int]] = []
+    blocks: list[tuple[str, int, bool, int, int]] = []
     piece: list[str] = []
     state = {"in_main": 0, "linked": 0, "in_link": False}
 
@@ -100,11 +100,10 @@ def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str
         piece.clear()
         words[:] = text.split()
         if words:
-            start, base = len(tokens), paths[-1]
-            tokens.extend(hashes[w] ^ base for w in words)
+            text = " ".join(words)
             if where() == 0:
-                share = state["linked"]
-                blocks.append((" ".join(words), start, len(tokens), state["in_main"] > 0, len(words), share))
+                blocks.append((text, len(tokens), state["in_main"] > 0, len(words), state["linked"]))
+            tokens.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) ^ paths[-1])
         state["linked"] = 0
 
     def close(depth: int) -> None:
@@ -167,20 +166,20 @@ def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str
         paths.append(int(mix(np.array([(paths[-1] + hashes[label]) & 0xFFFFFFFFFFFFFFFF], np.uint64))[0]))
         state["in_main"] += name in _MAIN
     end_block()
-    inside = [b for b in blocks if b[3]]
-    size = sum(b[4] for b in inside)
-    if size and sum(b[4] for b in blocks) <= 4 * size:
+    inside = [b for b in blocks if b[2]]
+    size = sum(b[3] for b in inside)
+    if size and sum(b[3] for b in blocks) <= 4 * size:
         chosen = inside
     else:  # no article: blocks that are mostly links are menus
-        chosen = [b for b in blocks if b[5] <= 0.6 * b[4]]
-    return np.array(tokens, np.uint64), [(t, a, b) for t, a, b, *_ in chosen]
+        chosen = [b for b in blocks if b[4] <= 0.6 * b[3]]
+    return np.array(tokens, np.uint64), [(b[0], b[1]) for b in chosen]
 
 
-_PARSED = "row_id long, page_id {id}, url string, host string, tokens array<long>, texts array<string>, spans array<int>"
+_PARSED = "row_id long, page_id {id}, url string, host string, tokens array<long>, texts array<string>, places array<int>"
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Tokens and main blocks of every page; spans has first and last token of each block."""
+    """Tokens and main blocks of every page; places has where the token of each block stands."""
     schema = _PARSED.format(id=dict(pages.dtypes)["page_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,9 +193,9 @@ def parsed(pages: DataFrame) -> DataFrame:
                         *(part.column(i) for i in range(4)),
                         pa.array([t.view(np.int64) for t, _ in found], pa.list_(pa.int64())),
                         pa.array([[b[0] for b in blocks] for _, blocks in found], pa.list_(pa.string())),
-                        pa.array([[x for b in blocks for x in b[1:]] for _, blocks in found], pa.list_(pa.int32())),
+                        pa.array([[b[1] for b in blocks] for _, blocks in found], pa.list_(pa.int32())),
                     ],
-                    ["row_id", "page_id", "url", "host", "tokens", "texts", "spans"],
+                    ["row_id", "page_id", "url", "host", "tokens", "texts", "places"],
                 )
 
     rows = pages.select(
@@ -318,19 +317,20 @@ def _extract(pages: DataFrame, templates: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = []
-            for tokens, blocks, spans, own in zip(pdf["tokens"], pdf["texts"], pdf["spans"], pdf["classes"], strict=True):
+            for tokens, blocks, places, own in zip(
+                pdf["tokens"], pdf["texts"], pdf["places"], pdf["classes"], strict=True
+            ):
                 token, kind, _ = _arrays(own)
                 fixed = _mark(np.asarray(tokens, np.int64), token, kind) >= 0
-                slots = [t for t, a, b in zip(blocks, spans[::2], spans[1::2], strict=True) if not fixed[a:b].all()]
+                slots = [t for t, place in zip(blocks, places, strict=True) if not fixed[place]]
                 # a page without any slot is one of many equal pages, not an empty one
                 texts.append("\n".join(slots or blocks))
             yield pd.DataFrame(
                 {"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]}
             )
 
-    return _with_classes(pages, templates).select("page_id", "url", "tokens", "texts", "spans", "classes").mapInPandas(
-        run, schema
-    )
+    rows = _with_classes(pages, templates).select("page_id", "url", "tokens", "texts", "places", "classes")
+    return rows.mapInPandas(run, schema)
 
 
 def extract(pages: DataFrame) -> DataFrame:
