@@ -10,7 +10,8 @@ nearest to it.
 Centroids, bounds to start from and the number of lists to look into come from a bounded
 sample (``SAMPLE``); every row is in a list. Lists are cut into blocks of rows and their
 queries into blocks as well, so a list that holds a third of all rows becomes many tasks. Each
-block gives back at most ``k`` rows per query, with scores from the original vectors.
+block gives back at most ``k`` rows per query, with scores from the original vectors. Queries
+that end with fewer than ``k`` rows are scanned once more, without giving anything up.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ BLOCK_ROWS, BLOCK_QUERIES = 2048, 256
 COLUMNS = 16
 #: Standard deviations of the test that gives a candidate up.
 CONFIDENCE = 3.0
+#: Rounding of a squared distance, as a share of the squared norms it is made from.
+ROUNDING = 1e-9
 RECALL = 0.97
 
 
@@ -108,8 +111,9 @@ def _tile(index: Index, k: int):
         norms = (q * q).sum(axis=1)
         found = []
         for i in range(len(q)):
-            # the product bound as a squared distance
-            far = norms[i] + index.top - 2 * bounds[i] if np.isfinite(bounds[i]) else np.inf
+            # the product bound as a squared distance; for copies of the longest vector it is 0
+            far = max(0.0, norms[i] + index.top - 2 * bounds[i]) if np.isfinite(bounds[i]) else np.inf
+            margin = ROUNDING * (norms[i] + index.top)
             alive = np.flatnonzero(ids != qids[i])
             sums = np.zeros(len(alive))
             for start in range(0, width, COLUMNS):
@@ -117,7 +121,7 @@ def _tile(index: Index, k: int):
                 step = lifted[alive, start:stop] - asked[i, start:stop]
                 sums += (step * step).sum(axis=1)
                 if stop < width and np.isfinite(far):
-                    keep = sums * (width / stop) <= far * (1 + CONFIDENCE / stop**0.5) ** 2
+                    keep = sums * (width / stop) <= far * (1 + CONFIDENCE / stop**0.5) ** 2 + margin
                     alive, sums = alive[keep], sums[keep]
                 if not len(alive):
                     break
@@ -205,34 +209,44 @@ def search(df: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
     looks = asked.mapInPandas(probe, "query_id long, embedding array<float>, bound double, lists array<int>")
     looks = materialize(looks, "probes")
-    asks = looks.select("query_id", F.explode("lists").alias("list")).groupBy("list").agg(F.count("*").alias("m"))
-    asks = {r["list"]: r["m"] for r in asks.collect()}
-    blocks = spark.createDataFrame(
-        [
-            (i, int(-(-counts[i] // BLOCK_ROWS)), int(-(-m // BLOCK_QUERIES)))
-            for i, m in asks.items()
-            if counts[i]
-        ],
-        "list int, row_blocks int, query_blocks int",
-    )
-    blocks = F.broadcast(blocks)  # one row per list, at most MAX_LISTS
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    rows = (
-        listed.join(blocks, "list")
-        .withColumn("row_block", F.pmod(F.xxhash64("vec_id"), F.col("row_blocks")).cast("int"))
-        .withColumn("query_block", spread("query_blocks"))
-        .select("list", "row_block", "query_block", "vec_id", "embedding")
-    )
-    seeks = (
-        looks.select("query_id", "embedding", "bound", F.explode("lists").alias("list"))
-        .join(blocks, "list")
-        .withColumn("query_block", F.pmod(F.xxhash64("query_id", F.lit(1)), F.col("query_blocks")).cast("int"))
-        .withColumn("row_block", spread("row_blocks"))
-        .select("list", "row_block", "query_block", "query_id", "embedding", "bound")
-    )
-    key = ["list", "row_block", "query_block"]
-    tile = lambda left, right: _tile(shared.value, k)(left, right)
-    near = rows.groupBy(*key).cogroup(seeks.groupBy(*key)).applyInPandas(tile, "query_id long, vec_id long, score double")
+
+    def scan(seekers: DataFrame) -> DataFrame:
+        asks = seekers.select("query_id", F.explode("lists").alias("list")).groupBy("list").agg(F.count("*").alias("m"))
+        asks = {r["list"]: r["m"] for r in asks.collect()}
+        blocks = spark.createDataFrame(
+            [
+                (i, int(-(-counts[i] // BLOCK_ROWS)), int(-(-m // BLOCK_QUERIES)))
+                for i, m in asks.items()
+                if counts[i]
+            ],
+            "list int, row_blocks int, query_blocks int",
+        )
+        blocks = F.broadcast(blocks)  # one row per list, at most MAX_LISTS
+        spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        rows = (
+            listed.join(blocks, "list")
+            .withColumn("row_block", F.pmod(F.xxhash64("vec_id"), F.col("row_blocks")).cast("int"))
+            .withColumn("query_block", spread("query_blocks"))
+            .select("list", "row_block", "query_block", "vec_id", "embedding")
+        )
+        seeks = (
+            seekers.select("query_id", "embedding", "bound", F.explode("lists").alias("list"))
+            .join(blocks, "list")
+            .withColumn("query_block", F.pmod(F.xxhash64("query_id", F.lit(1)), F.col("query_blocks")).cast("int"))
+            .withColumn("row_block", spread("row_blocks"))
+            .select("list", "row_block", "query_block", "query_id", "embedding", "bound")
+        )
+        key = ["list", "row_block", "query_block"]
+        tile = lambda left, right: _tile(shared.value, k)(left, right)
+        return rows.groupBy(*key).cogroup(seeks.groupBy(*key)).applyInPandas(tile, "query_id long, vec_id long, score double")
+
+    near = materialize(scan(looks), "near")
+    full = near.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n")).filter(F.col("n") >= k)
+    # a query with an open bound has seen all candidates of its lists
+    short = looks.filter(F.col("bound") > float("-inf")).join(full, "query_id", "left_anti")
+    short = materialize(short.withColumn("bound", F.lit(float("-inf"))), "short-probes")
+    if not short.isEmpty():
+        near = near.unionByName(scan(short))
     near = near.dropDuplicates(["query_id", "vec_id"])
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

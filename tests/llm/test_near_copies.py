@@ -194,3 +194,29 @@ def test_recall_over_many_lists(spark, monkeypatch):
         got[r["query_id"]].add(r["vec_id"])
     assert all(len(v) == 20 for v in got.values())
     assert np.mean([len(got[q] & {i for i, _ in w}) / 20 for q, w in want.items()]) >= 0.9
+
+
+@pytest.mark.parametrize("kind", ["unit", "signs"])
+def test_copies_of_the_longest_vector_find_each_other(spark, kind):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1000, 64))
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) if kind == "unit" else np.sign(x)
+    x = x.astype(np.float32)
+    x[:400] = x[np.argmax((x.astype(np.float64) ** 2).sum(axis=1))]
+    rows = vectors(spark, x)
+    # the product of one query is rounded in another way than that of many rows
+    got = adaptive_scan.search(rows, rows.filter("vec_id = 7")).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [i for i in range(21) if i != 7]
+
+
+def test_queries_left_short_are_scanned_again(spark, points, monkeypatch):
+    tile = adaptive_scan._tile
+
+    def hasty(index, k):
+        whole = tile(index, k)
+        return lambda rows, queries: whole(rows, queries[~np.isfinite(queries["bound"])])
+
+    monkeypatch.setattr(adaptive_scan, "_tile", hasty)
+    rows = vectors(spark, points)
+    got = collections.Counter(r["query_id"] for r in adaptive_scan.search(rows, rows.filter("vec_id % 50 = 0")).collect())
+    assert got == {q: 20 for q in range(0, len(points), 50)}
