@@ -6,8 +6,10 @@ occurrence vector) and on nearly all of its pages form a class; a class is valid
 come in the same order on all pages, once per round, and if all of it lies in one gap of the
 root class (whose tokens come exactly once per page). The valid classes are the host's
 template; what stands between their tokens are its slots. The main text of a page are the
-blocks of its article (or, without one, of the page) that are not template, without
-those that stand in menus, headers, footers, sidebars, notices, adverts, forms and comments.
+blocks of its article, also those that all pages of the host share, or, without an article,
+the blocks of the page in the innermost element around all slots: the template is only used to
+tell the frame. Menus, headers, footers, sidebars, notices, adverts, forms and comments are
+left out in both cases.
 
 Occurrence vectors are never built: per (host, token) two sums of hashed (page, count) stand
 for the vector, so they are aggregated before they are moved and a host with a third of all
@@ -83,14 +85,18 @@ class _Hashes(dict):
         return value
 
 
-def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str, int]]]:
-    """(tokens in page order, main blocks): a block is (text, place of its token)."""
+def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str, int, int, int]]]:
+    """(tokens in page order, main blocks): a block is (text, place of its token, depth, common).
+
+    ``depth`` counts the elements around the block, -1 within an article; ``common`` those that
+    it shares with the block before.
+    """
     stack: list[tuple[str, str, int]] = []  # (element, label, where: 0 text, 1 other, 2 comments)
     paths, words = [0], []
     tokens: list[int] = []
-    blocks: list[tuple[str, int, bool, int, int]] = []
+    blocks: list[tuple[str, int, bool, int, int, int, int]] = []
     piece: list[str] = []
-    state = {"in_main": 0, "linked": 0, "in_link": False}
+    state = {"in_main": 0, "linked": 0, "in_link": False, "common": 0}
 
     def where() -> int:
         return stack[-1][2] if stack else 0
@@ -102,7 +108,8 @@ def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str
         if words:
             text = " ".join(words)
             if where() == 0:
-                blocks.append((text, len(tokens), state["in_main"] > 0, len(words), state["linked"]))
+                blocks.append((text, len(tokens), state["in_main"] > 0, len(words), state["linked"], len(stack), state["common"]))
+                state["common"] = len(stack)
             tokens.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) ^ paths[-1])
         state["linked"] = 0
 
@@ -111,6 +118,7 @@ def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str
         while len(stack) > depth:
             name, label, _ = stack.pop()
             paths.pop()
+            state["common"] = min(state["common"], len(stack))
             state["in_main"] -= name in _MAIN
             tokens.append(hashes["/" + label] ^ paths[-1])
 
@@ -166,16 +174,22 @@ def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str
         paths.append(int(mix(np.array([(paths[-1] + hashes[label]) & 0xFFFFFFFFFFFFFFFF], np.uint64))[0]))
         state["in_main"] += name in _MAIN
     end_block()
-    inside = [b for b in blocks if b[2]]
-    size = sum(b[3] for b in inside)
-    if size and sum(b[3] for b in blocks) <= 4 * size:
-        chosen = inside
-    else:  # no article: blocks that are mostly links are menus
-        chosen = [b for b in blocks if b[4] <= 0.6 * b[3]]
-    return np.array(tokens, np.uint64), [(b[0], b[1]) for b in chosen]
-
-
-_PARSED = "row_id long, page_id {id}, url string, host string, tokens array<long>, texts array<string>, places array<int>"
+    size = sum(b[3] for b in blocks if b[2])
+    only = size and sum(b[3] for b in blocks) <= 4 * size
+    found, common = [], len(blocks) and blocks[0][6]
+    for text, place, inside, n, linked, depth, shared in blocks:
+        common = min(common, shared)
+        # no article: blocks that are mostly links are menus
+        if inside if only else linked <= 0.6 * n:
+            found.append((text, place, -1 if inside else depth, common))
+            common = depth
+    return np.array(tokens, np.uint64), found
+
+
+_PARSED = (
+    "row_id long, page_id {id}, url string, host string, tokens array<long>, texts array<string>, places array<int>, "
+    "depths array<int>, commons array<int>"
+)
 
 
 def parsed(pages: DataFrame) -> DataFrame:
@@ -193,9 +207,9 @@ def parsed(pages: DataFrame) -> DataFrame:
                         *(part.column(i) for i in range(4)),
                         pa.array([t.view(np.int64) for t, _ in found], pa.list_(pa.int64())),
                         pa.array([[b[0] for b in blocks] for _, blocks in found], pa.list_(pa.string())),
-                        pa.array([[b[1] for b in blocks] for _, blocks in found], pa.list_(pa.int32())),
+                        *(pa.array([[b[i] for b in blocks] for _, blocks in found], pa.list_(pa.int32())) for i in (1, 2, 3)),
                     ],
-                    ["row_id", "page_id", "url", "host", "tokens", "texts", "places"],
+                    ["row_id", "page_id", "url", "host", "tokens", "texts", "places", "depths", "commons"],
                 )
 
     rows = pages.select(
@@ -311,25 +325,42 @@ def valid(pages: DataFrame, classes: DataFrame) -> DataFrame:
     return materialize(kept, "templates")
 
 
+def _kept(slot: np.ndarray, depths: np.ndarray, commons: np.ndarray) -> np.ndarray:
+    """Blocks of an article, and those in the innermost element around all other slots."""
+    inside = depths < 0
+    keep, own = inside.copy(), np.flatnonzero(slot & ~inside)
+    if len(own):
+        first, last = own[0], own[-1]
+        around = min([*commons[first + 1 : last + 1], *(depths[own] - 1)])
+        while first and commons[first] >= around:
+            first -= 1
+        while last + 1 < len(slot) and commons[last + 1] >= around:
+            last += 1
+        keep[first : last + 1] = True
+    # a page without any slot is one of many equal pages, not an empty one
+    return keep if keep.any() else np.ones(len(slot), bool)
+
+
 def _extract(pages: DataFrame, templates: DataFrame) -> DataFrame:
     schema = f"page_id {dict(pages.dtypes)['page_id']}, url string, text string, n_chars long"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = []
-            for tokens, blocks, places, own in zip(
-                pdf["tokens"], pdf["texts"], pdf["places"], pdf["classes"], strict=True
+            for tokens, blocks, own, *lists in zip(
+                *(pdf[c] for c in ("tokens", "texts", "classes", "places", "depths", "commons")), strict=True
             ):
                 token, kind, _ = _arrays(own)
-                fixed = _mark(np.asarray(tokens, np.int64), token, kind) >= 0
-                slots = [t for t, place in zip(blocks, places, strict=True) if not fixed[place]]
-                # a page without any slot is one of many equal pages, not an empty one
-                texts.append("\n".join(slots or blocks))
+                places, depths, commons = (np.asarray(x, np.int64) for x in lists)
+                slot = _mark(np.asarray(tokens, np.int64), token, kind)[places] < 0
+                texts.append("\n".join(t for t, k in zip(blocks, _kept(slot, depths, commons), strict=True) if k))
             yield pd.DataFrame(
                 {"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]}
             )
 
-    rows = _with_classes(pages, templates).select("page_id", "url", "tokens", "texts", "places", "classes")
+    rows = _with_classes(pages, templates).select(
+        "page_id", "url", "tokens", "texts", "places", "depths", "commons", "classes"
+    )
     return rows.mapInPandas(run, schema)
 
 

@@ -60,6 +60,25 @@ def test_equal_pages_keep_their_text(spark):
     assert set(texts(spark, rows).values()) == {"All the same words here"}
 
 
+@pytest.mark.parametrize("differs", ["title", "paragraph"])
+@pytest.mark.parametrize("count", [7, 12])
+@pytest.mark.parametrize("element", ["article", "main", "div"])
+def test_near_copies_keep_shared_paragraphs(spark, element, count, differs):
+    shared = ["A first paragraph that all pages have.", "A second one.", "A third one."]
+
+    def blocks(i):
+        title, last = (f"Page {i}", "The end") if differs == "title" else ("Page", f"The end of {i}")
+        return [title, *shared, last]
+
+    def page(i):
+        inner = "".join(f"<p>{b}</p>" for b in blocks(i))
+        return f"<body><div><div>Site</div></div><{element}><h1></h1>{inner}</{element}><div><div>Legal</div></div></body>"
+
+    got = texts(spark, [(i, f"http://near.net/{i}", page(i)) for i in range(count)])
+    frame = element == "div" and count < html_template.MIN_PAGES
+    assert got == {i: "\n".join(["Site", *blocks(i), "Legal"] if frame else blocks(i)) for i in range(count)}
+
+
 @pytest.mark.parametrize(
     "page,text",
     [
