@@ -56,7 +56,7 @@ _ONE_BY_ONE = frozenset("p li dt dd tr td th option".split())
 _OTHER = frozenset("nav footer aside form button menu dialog head".split())
 _MAIN = frozenset("article main".split())
 _FRAME = frozenset("html body article main".split())
-#: Words of class, id and role that name a part which is not main text.
+#: Names in class, id and role of a part which is not main text.
 _NAMES = frozenset(
     "ad ads adv advert adverts advertisement adsense banner sponsor sponsored promo promotion sidebar nav navbar "
     "navigation menu breadcrumb breadcrumbs footer cookie cookies consent gdpr notice notices notification "
@@ -65,16 +65,27 @@ _NAMES = frozenset(
     "pagination pager complementary contentinfo dialog alert skip".split()
 )
 _HEAD_NAMES = frozenset("header masthead topbar".split())
+#: Words that a name may be joined with ("cookie-notice", "ad-box") and still name such a part.
+_JOINED = _NAMES | _HEAD_NAMES | frozenset(
+    "site page main top bottom left right box bar area block wrapper container list posts buttons links".split()
+)
+_TEXT = frozenset("p h1 h2 h3 h4 h5 h6".split())
+_LISTS = frozenset("ul ol dl menu".split())
 _COMMENT_NAMES = frozenset("comment comments disqus respond reply replies".split())
 
 
-def _names(attributes: str) -> set[str]:
-    found: set[str] = set()
+def _names(attributes: str) -> tuple[set[str], set[str]]:
+    """(all words of class, id and role, names of parts): a name is a whole class or id."""
+    words: set[str] = set()
+    names: set[str] = set()
     for name, value in _ATTRIBUTE.findall(attributes):
         if name.lower() in ("class", "id", "role"):
-            value = re.sub(r"([a-z])([A-Z])", r"\1 \2", value)
-            found.update(re.findall(r"[a-z]+", value.lower()))
-    return found
+            for whole in value.strip("\"'").split():
+                own = re.findall(r"[a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", whole).lower())
+                words.update(w for w in own if w.isalpha())
+                if _JOINED.issuperset(own):
+                    names.update(own)
+    return words, names
 
 
 class _Hashes(dict):
@@ -94,9 +105,9 @@ def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str
     stack: list[tuple[str, str, int]] = []  # (element, label, where: 0 text, 1 other, 2 comments)
     paths, words = [0], []
     tokens: list[int] = []
-    blocks: list[tuple[str, int, bool, int, int, int, int]] = []
+    blocks: list[tuple[str, int, bool, int, int, int, int]] = []  # linked words count in lists only
     piece: list[str] = []
-    state = {"in_main": 0, "linked": 0, "in_link": False, "common": 0}
+    state = {"in_main": 0, "linked": 0, "in_link": False, "in_list": 0, "common": 0}
 
     def where() -> int:
         return stack[-1][2] if stack else 0
@@ -108,7 +119,7 @@ def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str
         if words:
             text = " ".join(words)
             if where() == 0:
-                blocks.append((text, len(tokens), state["in_main"] > 0, len(words), state["linked"], len(stack), state["common"]))
+                blocks.append((text, len(tokens), state["in_main"] > 0, len(words), state["linked"] * (state["in_list"] > 0), len(stack), state["common"]))
                 state["common"] = len(stack)
             tokens.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) ^ paths[-1])
         state["linked"] = 0
@@ -120,6 +131,7 @@ def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str
             paths.pop()
             state["common"] = min(state["common"], len(stack))
             state["in_main"] -= name in _MAIN
+            state["in_list"] -= name in _LISTS
             tokens.append(hashes["/" + label] ^ paths[-1])
 
     for m in _LEX.finditer(page or ""):
@@ -155,7 +167,9 @@ def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str
             close(len(stack) - 1)
             if name in _ONE_BY_ONE and stack and stack[-1][0] == name:
                 close(len(stack) - 1)
-        names = _names(attributes) if attributes else set()
+        words_of, names = _names(attributes) if attributes else (set(), set())
+        if state["in_main"] and name in _TEXT:
+            names = set()
         state["in_link"] = False
         if name in _MAIN and where() == 1 and not names & _NAMES:
             # an article does not stand in a menu or a form: what was open was never closed
@@ -164,23 +178,22 @@ def parse(page: str | None, hashes: _Hashes) -> tuple[np.ndarray, list[tuple[str
         if not place and name not in _FRAME:
             if name in _OTHER or names & _NAMES or (name == "header" or names & _HEAD_NAMES) and not state["in_main"]:
                 place = 2 if names & _COMMENT_NAMES else 1
-            elif re.search(r"(?i)\bhidden\b|display\s*:\s*none", attributes):
-                place = 1
         elif not place and name == "article" and names & _COMMENT_NAMES:
             place = 2
-        label = name + "".join("." + n for n in sorted(names))
+        label = name + "".join("." + n for n in sorted(words_of))
         stack.append((name, label, place))
         tokens.append(hashes[label] ^ paths[-1])
         paths.append(int(mix(np.array([(paths[-1] + hashes[label]) & 0xFFFFFFFFFFFFFFFF], np.uint64))[0]))
         state["in_main"] += name in _MAIN
+        state["in_list"] += name in _LISTS
     end_block()
     size = sum(b[3] for b in blocks if b[2])
     only = size and sum(b[3] for b in blocks) <= 4 * size
     found, common = [], len(blocks) and blocks[0][6]
     for text, place, inside, n, linked, depth, shared in blocks:
         common = min(common, shared)
-        # no article: blocks that are mostly links are menus
-        if inside if only else linked <= 0.6 * n:
+        # no article: list items that are mostly links are menus
+        if inside or not only and linked <= 0.6 * n:
             found.append((text, place, -1 if inside else depth, common))
             common = depth
     return np.array(tokens, np.uint64), found

@@ -99,6 +99,23 @@ def test_odd_pages(spark, page, text):
     assert texts(spark, [(1, None, page)]) == {1: text}
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ('<article><section id="related-work"><p>work</p></section><h2 id="notice-period">period</h2></article>', "work\nperiod"),
+        ('<article><div class="search-results"><p>found</p></div><p class="notice">note</p></article>', "found\nnote"),
+        ('<div class="content has-sidebar"><p>all of it</p></div>', "all of it"),
+        ('<div class="overflow-hidden"><p>seen</p></div><p aria-hidden="false">too</p>', "seen\ntoo"),
+        ("<p><a href=/a>a paragraph that is one link</a></p>", "a paragraph that is one link"),
+        ("<article><ul><li><a href=/a>source</a></ul></article><div>" + "<p>teaser text</p>" * 9 + "</div>", "source" + "\nteaser text" * 9),
+        ('<div class="cookieNotice">c</div><div class="post ad">a</div><div id="site-header">h</div><p>x</p>', "x"),
+    ],
+)
+def test_whole_names_tell_parts(page, text):
+    _, blocks = html_template.parse(page, html_template._Hashes())
+    assert "\n".join(b[0] for b in blocks) == text
+
+
 def test_long_page_and_no_pages(spark):
     body = "".join(f"<p>word{i}</p>" for i in range(20_000))
     assert texts(spark, [(1, "http://a/", body)])[1].count("\n") == 19_999
