@@ -316,8 +316,10 @@ def _second_round(members: DataFrame, nodes: DataFrame, found: DataFrame, texts:
     # two members outside the main component meet from both sides; one is enough
     once = (F.col("comp_b") == F.col("main_b")) | (F.col("node_a") < F.col("node_b"))
     alike = _alike("weight_a", "weight_b", "sketch_a", "sketch_b")
-    # members whose texts have too little in common with any other are gone before the join
-    alive = F.coalesce(F.col("shared_a") >= THRESHOLD * F.col("weight_a") - 1e-6, F.lit(True))
+    # members whose texts have too little in common with any other are gone before the join;
+    # mates in small buckets need not be among those that the bound has counted
+    bounded = F.coalesce(F.col("shared_a") >= THRESHOLD * F.col("weight_a") - 1e-6, F.lit(True))
+    alive = (F.col("n_a") <= SMALL_BUCKET) | bounded
     met = one.filter(alive).join(two, "key").filter(
         (F.col("comp_a") != F.col("comp_b")) & once & ((F.col("n_b") <= SMALL_BUCKET) | enough) & alike
     )

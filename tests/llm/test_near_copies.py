@@ -62,6 +62,26 @@ def test_classes_are_those_of_brute_force(spark, corpus, small_bucket, monkeypat
     assert got == brute(corpus)
 
 
+def test_mates_in_small_buckets_meet_whatever_a_crowd_shares(spark):
+    rng = random.Random(8)
+    new = lambda n: [f"y{rng.randrange(10**6)}" for _ in range(n)]
+    passage, own = new(100), new(100)
+    a = passage + own
+    b = [*a[:100], *new(5), *a[105:]]
+    rows = [(1, a), (2, b), (3, new(200)), *((10 + i, passage + new(100)) for i in range(20))]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    near = brute(rows)
+    assert near[1] == near[2] and near[10] == 10
+    texts = docs(spark, rows).select("doc_id", "text")
+    nodes = dart_minhash.signed(texts).selectExpr("doc_id node", "weight", "sketch")
+    # 1 is in a bucket with the crowd and in a small one with 2, which is not in the large one
+    large, small = [(0, i) for i, _ in rows if i == 1 or i >= 10], [(5, 1), (5, 2), (5, 3)]
+    members = spark.createDataFrame([*large, *small], "key long, node long")
+    found = spark.createDataFrame([(2, 2), (3, 2)], "node long, component_id long")
+    got = dart_minhash._second_round(members, nodes, found, texts).collect()
+    assert (1, 2) in {(r["a"], r["b"]) for r in got}
+
+
 def test_signatures_agree_as_often_as_texts_are_alike():
     rng, hashes = random.Random(1), dart_minhash.WordHashes()
     for n, share in ((30, 0.02), (300, 0.01), (3000, 0.03)):
