@@ -127,14 +127,19 @@ def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
     return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """(text, quality): at most ``per_class`` labelled rows of either class.
+def _present(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, quality), distinct: the labels that may be learned from.
 
     Held-out rows (crc32 of the id as text, modulo 3, is 1) are never taken.
     """
     known = labels.filter(F.col("quality").isin(0, 1) & (crc_remainder(F.col("doc_id"), 3) != 1))
     known = known.select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
-    present = docs.select("doc_id").join(known, "doc_id").distinct()
+    return docs.select("doc_id").join(known, "doc_id").distinct()
+
+
+def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
+    """(text, quality): at most ``per_class`` labelled rows of either class."""
+    present = _present(docs, labels)
     order = [F.xxhash64("doc_id"), "doc_id", "quality"]
     chosen = [present.filter(F.col("quality") == c).orderBy(*order).limit(per_class) for c in (0, 1)]
     # 2 x per_class ids at most, so this side is small whatever the size of the tables
@@ -144,8 +149,19 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS
     return rows.orderBy(*order, F.xxhash64("text")).limit(2 * per_class).select("text", "quality")
 
 
+def prior_shift(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> float:
+    """Log odds of all labels that may be learned from, minus those of the sample."""
+    n = {r["quality"]: r["n"] for r in _present(docs, labels).groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    if len(n) < 2:
+        return 0.0
+    return float(np.log(n[1] / n[0]) - np.log(min(n[1], per_class) / min(n[0], per_class)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """Train on the bounded sample, in one task. Without labels the model says 0.5 to all."""
+    """Train on the bounded sample, in one task. Without labels the model says 0.5 to all.
+
+    The bias is that of the ratio of all labels, so decisions do not depend on the table's size.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(batches) or [pd.DataFrame({"text": [], "quality": []})])
@@ -157,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     rows = sample(docs, labels, per_class).coalesce(1).mapInPandas(run, "add binary, bias double").collect()
     if not rows:
         return Model(np.zeros(BUCKETS, np.float32), 0.0)
-    return Model(np.frombuffer(rows[0]["add"], np.float32), rows[0]["bias"])
+    return Model(np.frombuffer(rows[0]["add"], np.float32), rows[0]["bias"] + prior_shift(docs, labels, per_class))
 
 
 def score_udf(spark: SparkSession, model: Model):

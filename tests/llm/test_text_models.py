@@ -183,3 +183,18 @@ def test_classifier_edges(spark):
     assert len(got) == 65 and all(0 <= r["score"] <= 1 for r in got)
     assert {r["score"] for r in quality.classify(odd, labels.limit(0)).collect()} == {0.5}
     assert quality.classify(odd.limit(0), labels).count() == 0
+
+
+def test_bias_of_the_classifier_is_that_of_all_labels(spark):
+    rows = [(i, f"good words {i}" if i % 6 else f"bad junk {i}") for i in range(600)]
+    marks = spark.createDataFrame([(i, int(i % 6 > 0)) for i, _ in rows], "doc_id long, quality int")
+    used = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    good = sum(i % 6 > 0 for i in used)
+    # an even sample: the bias of its fit is moved to the ratio of all labels
+    texts = docs(spark, rows)
+    picked = quality.sample(texts, marks, 40).collect()
+    assert collections.Counter(r["quality"] for r in picked) == {0: 40, 1: 40}
+    plain = quality.train([r["text"] for r in picked], [r["quality"] for r in picked])
+    got = quality.fit(texts, marks, 40)
+    assert got.bias - plain.bias == pytest.approx(math.log(good / (len(used) - good)), abs=0.05)
+    assert quality.fit(texts, marks, 1000).bias == pytest.approx(quality.fit(texts, marks, 2000).bias)
