@@ -97,4 +97,35 @@ SELECT page_id, host, path, rule, listed,
 FROM judged
 """
 
-ORACLES = {"op5_shard_table": OP5, "op6_fair_mix": OP6, "op10_url_filter": OP10}
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: Every window of every text as one string of words.
+OP13 = f"""
+WITH items AS (
+  SELECT item, w, least(10, len(w)) AS n
+  FROM (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0
+),
+grams AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM items)
+),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+spans AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM docs, (SELECT DISTINCT n FROM grams) WHERE len(w) >= n)
+),
+found AS (SELECT r, i, g.n, item FROM spans s JOIN grams g ON s.n = g.n AND s.gram = g.gram),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+ORACLES = {"op5_shard_table": OP5, "op6_fair_mix": OP6, "op10_url_filter": OP10, "op13_winnow": OP13}

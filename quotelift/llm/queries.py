@@ -16,6 +16,7 @@ from quotelift.llm import (
     sentencepiece_viterbi,
     shard_table,
     url_filter,
+    winnow,
 )
 from quotelift.llm.common import table
 
@@ -67,6 +68,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed)
 
 
+def op13_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_html_template": op1_html_template,
     "op2_sentencepiece": op2_sentencepiece,
@@ -78,4 +83,5 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_itq": op9_itq,
     "op10_url_filter": op10_url_filter,
+    "op13_winnow": op13_winnow,
 }
