@@ -128,4 +128,94 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
 
-ORACLES = {"op5_shard_table": OP5, "op6_fair_mix": OP6, "op10_url_filter": OP10, "op13_winnow": OP13}
+#: crc32 of a short text; ``crc`` holds the table with an entry for each byte value.
+_CRC_TABLE = """SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+  lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))) AS entries"""
+_CRC = """xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+#: A path is the list of digests to it. A node's totals are sums over the conversations through it:
+#: whether one owns a leaf at its end, and the tokens saved at the nodes it owns (as smallest member).
+OP11 = f"""
+WITH crc AS ({_CRC_TABLE}),
+turns AS (
+  SELECT conv_id, sha256(length(role) || ':' || role || text) AS digest,
+         len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+),
+convs AS (SELECT conv_id, conv_id - conv_id % 20 AS first, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id FROM turns), crc),
+rows_ AS (
+  SELECT c.conv_id, 0 AS part, 0 AS pos, '' AS digest, 0 AS words FROM convs c
+  UNION ALL SELECT c.conv_id, 1, t.pos, t.digest, t.words FROM convs c JOIN turns t ON t.conv_id = c.first AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, 2, t.pos, t.digest, t.words FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h
+),
+placed AS (
+  SELECT conv_id AS c, words, row_number() OVER o - 1 AS d,
+         string_agg(digest, ',') OVER (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING) AS path,
+         count(*) OVER (PARTITION BY conv_id) - 1 AS len
+  FROM rows_ WINDOW o AS (PARTITION BY conv_id ORDER BY part, pos)
+),
+steps AS (SELECT *, lag(path) OVER (PARTITION BY c ORDER BY d) AS above FROM placed),
+nodes AS (
+  SELECT path, any_value(d) AS d, any_value(above) AS above, min(c) AS owner, count(*) AS n, any_value(words) AS words,
+         max(len) > any_value(d) AS has_children,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len = d), '')) AS ends
+  FROM steps GROUP BY path
+),
+gains AS (
+  SELECT s.path,
+         sum(CASE WHEN n.owner = s.c THEN (n.n - 1) * n.words ELSE 0 END) OVER (PARTITION BY s.c ORDER BY s.d DESC) AS saved,
+         max(CASE WHEN n.owner = s.c AND NOT n.has_children THEN 1 ELSE 0 END) OVER (PARTITION BY s.c) AS leaf
+  FROM steps s JOIN nodes n ON n.path = s.path
+),
+totals AS (SELECT path, sum(leaf)::BIGINT AS leaves, sum(saved)::BIGINT AS saved FROM gains GROUP BY path),
+children AS (SELECT above AS path, count(*) AS n FROM nodes WHERE above IS NOT NULL GROUP BY above)
+SELECT n.owner AS conv_id, n.d::BIGINT AS depth, p.owner AS parent_conv_id, n.n::BIGINT AS n_convs,
+       coalesce(k.n, 0)::BIGINT AS n_children, t.leaves AS n_leaves, t.saved AS saved_tokens, n.ends AS ends_sha256
+FROM nodes n JOIN totals t ON t.path = n.path LEFT JOIN nodes p ON p.path = n.above LEFT JOIN children k ON k.path = n.path
+"""
+
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP12 = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS w FROM documents
+),
+words AS (SELECT r, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+vocab AS (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+  FROM groups g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+shares AS (
+  SELECT lang, source, term, n,
+         1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p,
+         1 + (1000000000 * (sum(n) OVER (PARTITION BY lang, term) + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q
+  FROM cells JOIN vocab USING (lang)
+),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+),
+parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS place FROM parts
+)
+SELECT lang, source, part, item, value::BIGINT AS value, place::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR place <= 50
+"""
+
+ORACLES = {"op5_shard_table": OP5, "op6_fair_mix": OP6, "op10_url_filter": OP10, "op11_prefix_trie": OP11, "op12_divergence": OP12, "op13_winnow": OP13}

@@ -9,9 +9,11 @@ from quotelift.llm import (
     adaptive_scan,
     bloom_lm,
     dart_minhash,
+    divergence,
     fair_mix,
     html_template,
     itq,
+    prefix_trie,
     quality,
     sentencepiece_viterbi,
     shard_table,
@@ -68,6 +70,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -83,5 +93,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_itq": op9_itq,
     "op10_url_filter": op10_url_filter,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_divergence": op12_divergence,
     "op13_winnow": op13_winnow,
 }
