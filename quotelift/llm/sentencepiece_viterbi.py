@@ -25,10 +25,11 @@ The model file is read on the driver and broadcast: its pieces (checked against
 from __future__ import annotations
 
 import re
-import uuid
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain, pairwise
+from functools import cached_property
+from itertools import pairwise
 from pathlib import Path
 from string import punctuation
 
@@ -40,21 +41,17 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 MAX_PIECES = 1_000_000
-#: Stretches and pairs remembered per Python worker, and the longest that is remembered.
-REMEMBERED, LONGEST = 1_000_000, 64
+#: Stretches, and half as many pairs, remembered in a task.
+REMEMBERED = 800_000
 #: A character without piece costs so much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """``ids``: piece to (id, score). ``raw``: what each id decodes to, as bytes.
-
-    ``ends``: the same for all endings of pieces, with None for those that are no piece.
-    """
+    """``ids``: piece to (id, score). ``raw``: what each id decodes to, as bytes."""
 
     ids: dict[str, tuple[int, float]]
-    ends: dict[str, tuple[int, float] | None]
     raw: list[bytes]
     byte_ids: list[int]
     unknown: int
@@ -65,6 +62,17 @@ class Vocabulary:
     spaces_first: bool
     merging: bool
 
+    @cached_property
+    def endings(self) -> list:
+        """The pieces by their last characters: [next by character, piece or "", score]."""
+        root: list = [{}, "", 0.0]
+        for piece, (_, score) in self.ids.items():
+            node = root
+            for c in reversed(piece):
+                node = node[0].setdefault(c, [{}, "", 0.0])
+            node[1:] = [piece, score]
+        return root
+
     @staticmethod
     def load(path: str = MODEL) -> Vocabulary:
         from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
@@ -96,7 +104,6 @@ class Vocabulary:
         beside = {pair for p in long for pair in pairwise(p)}
         return Vocabulary(
             ids,
-            {p[i:]: ids.get(p[i:]) for p in ids for i in range(len(p))},
             raw,
             byte_ids,
             model.unk_id(),
@@ -131,7 +138,7 @@ class Neighbours(dict):
         return self.halves[piece]
 
     def __missing__(self, pair: tuple[str, str]) -> bool:
-        if len(self) >= REMEMBERED // 2:
+        if len(self) >= REMEMBERED // 4:
             self.clear()
         value = self[pair] = self.stay(*pair)
         return value
@@ -155,76 +162,118 @@ class Neighbours(dict):
         return True
 
 
-def viterbi(chars: Iterable[str], vocab: Vocabulary, stay: Neighbours) -> Iterator[int]:
-    """Ids of a stream of characters, each given out as soon as it is certain.
+class Search:
+    """The search over one stretch, fed in parts; ids that are certain can be taken at any time.
 
     Of paths with equal scores the one whose last piece is longer wins, at every boundary.
     """
-    get, reach, worst, merging = vocab.ends.get, vocab.reach, vocab.worst, vocab.merging
-    window = ""  # the last characters, as far as a piece can reach
-    best = [0.0]  # scores of the boundaries inside the window
-    back: list[tuple[int, int, str]] = [(0, -1, "")]  # (start, id, text) of boundaries since done
-    done = end = 0
 
-    def path(stop: int) -> Iterator[int]:
+    def __init__(self, vocab: Vocabulary, stay: Neighbours):
+        self.vocab, self.stay, self.endings = vocab, stay, vocab.endings
+        self.text = ""  # what follows the last boundary that all paths meet in
+        # of each boundary in it: the last piece of its best path ("": unknown), where that starts, the score
+        self.last, self.start, self.best = [""], [0], [0.0]
+
+    def feed(self, text: str) -> None:
+        """Go on over more characters; no piece reaches further back than the longest."""
+        self.text += text
+        text, last, start = self.text, self.last, self.start
+        if not self.vocab.merging:
+            return self._feed_scores()
+        root, stay = self.endings, self.stay
+        for end in range(len(last), len(text) + 1):
+            node, i = root, end
+            while i:
+                i -= 1
+                node = node[0].get(text[i])
+                if node is None:  # no piece ends like this, so no longer one does
+                    i = 0
+                    break
+                piece = node[1]
+                if piece and stay[last[i], piece]:
+                    last.append(piece)
+                    start.append(i)
+                    break
+            if len(last) == end:  # an unknown character merges with nothing
+                last.append("")
+                start.append(end - 1)
+
+    def _feed_scores(self) -> None:
+        text, best, worst = self.text, self.best, self.vocab.worst
+        for end in range(len(best), len(text) + 1):
+            node, i, top, choice = self.endings, end, best[end - 1] + worst, (end - 1, "")
+            known = False
+            while i:
+                i -= 1
+                node = node[0].get(text[i])
+                if node is None:
+                    break
+                if node[1]:
+                    score = best[i] + node[2]
+                    # a character with a piece of its own is not unknown
+                    known = known or i == end - 1
+                    if score >= top or (known and not choice[1]):
+                        top, choice = score, (i, node[1])
+            best.append(top)
+            self.start.append(choice[0])
+            self.last.append(choice[1])
+
+    def _path(self, stop: int) -> list[int]:
         found = []
-        while stop > done:
-            stop, piece, text = back[stop - done]
-            if piece < 0 and vocab.byte_ids:
-                found.append([vocab.byte_ids[b] for b in text.encode("utf-8", "surrogatepass")])
+        while stop > 0:
+            start, piece = self.start[stop], self.last[stop]
+            if piece:
+                found.append(self.vocab.ids[piece][0])
+            elif self.vocab.byte_ids:
+                found.extend(self.vocab.byte_ids[b] for b in reversed(self.text[start:stop].encode("utf-8", "surrogatepass")))
             else:
-                found.append([piece if piece >= 0 else vocab.unknown])
-        return chain.from_iterable(reversed(found))
-
-    for c in chars:
-        window = (window + c)[-reach:]
-        end += 1
-        top, choice = -np.inf, None
-        size = len(window)
-        for i in range(size - 1, -1, -1):
-            piece = window[i:]
-            found = get(piece, 0)
-            if found == 0:  # no piece ends like this, so no longer one does
-                break
-            if found is None:
-                continue
-            if merging:
-                # an unknown character merges with nothing
-                if stay[back[end - size + i - done][2], piece]:
-                    top, choice = 0.0, (end - size + i, found[0], piece)
-                    break
-            elif best[i - size] + found[1] >= top:
-                top, choice = best[i - size] + found[1], (end - size + i, found[0], piece)
-        # a character without a piece of its own is unknown
-        if get(c) is None and (choice is None or not merging and best[-1] + worst > top):
-            top, choice = best[-1] + worst, (end - 1, -1, c)
-        best.append(top)
-        back.append(choice)
-        del best[:-reach]
-        if end - done >= 4 * reach:
-            # boundaries that a later piece can still start from
-            live = set(range(max(done, end + 1 - reach), end + 1))
-            while len(live) > 1:
-                last = max(live)
-                live.discard(last)
-                live.add(max(done, back[last - done][0]))
-            meet = live.pop()
-            if meet > done:
-                yield from path(meet)
-                del back[: meet - done]
-                done = meet
-    yield from path(end)
-
-
-#: The encoder of a Python worker, by the encoding it belongs to; it outlives single tasks.
-_encoders: dict[str, Encoder] = {}
+                found.append(self.vocab.unknown)
+            stop = start
+        found.reverse()
+        return found
+
+    def certain(self) -> list[int]:
+        """The ids up to the boundary in which all paths meet that can still go on; they leave."""
+        end = len(self.text)
+        live = set(range(max(0, end + 1 - self.vocab.reach), end + 1))
+        while len(live) > 1:
+            furthest = max(live)
+            live.discard(furthest)
+            live.add(self.start[furthest])
+        meet = live.pop()
+        found = self._path(meet)
+        self.text = self.text[meet:]
+        for kept in (self.last, self.start, self.best):
+            del kept[:meet]
+        self.start = [max(0, s - meet) for s in self.start]
+        return found
+
+    def rest(self) -> list[int]:
+        return self._path(len(self.text))
+
+
+def viterbi(text: str, vocab: Vocabulary, stay: Neighbours) -> Iterator[list[int]]:
+    """Ids of a text of any length, in parts that leave as soon as they are certain."""
+    search, step = Search(vocab, stay), 4 * vocab.reach
+    for at in range(0, len(text), step):
+        if at:
+            yield search.certain()
+        search.feed(text[at : at + step])
+    yield search.rest()
 
 
 class Encoder:
-    """Encodes whole texts; remembers stretches that no piece crosses the ends of."""
+    """Encodes whole texts; remembers stretches that no piece crosses the ends of.
+
+    Remembered stretches are kept in two halves; when the younger is full the older goes, so that
+    frequent ones stay. They end with the task.
+    """
 
     def __init__(self, vocab: Vocabulary):
-        self.vocab, self.known, self.stay = vocab, {}, Neighbours(vocab)
+        self.vocab, self.stay = vocab, Neighbours(vocab)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.altered: set[str] = set()
         if vocab.spaces_first:
             apart, after = re.escape(vocab.apart), re.escape(vocab.after)
             plain = f"[^ {apart}{after}]*"
@@ -234,55 +283,40 @@ class Encoder:
         else:
             self.split = lambda text: [text]
 
-    def _merged(self, text: str) -> list[int]:
-        """What ``viterbi`` does for a merging model, on a text that is at hand as a whole."""
-        get, stay, reach = self.vocab.ends.get, self.stay, self.vocab.reach
-        last, back = [""], [(0, -1)]
-        for end in range(1, len(text) + 1):
-            for start in range(end - 1, max(-1, end - 1 - reach), -1):
-                piece = text[start:end]
-                found = get(piece, 0)
-                if found == 0:
-                    start = -1
-                    break
-                if found is not None and stay[last[start], piece]:
-                    last.append(piece)
-                    back.append((start, found[0]))
-                    break
-            else:
-                start = -1
-            if start < 0:
-                last.append("")
-                back.append((end - 1, -1))
-        ids, end = [], len(text)
-        while end:
-            start, piece = back[end]
-            if piece >= 0:
-                ids.append(piece)
-            elif self.vocab.byte_ids:
-                ids.extend(self.vocab.byte_ids[b] for b in reversed(text[start:end].encode("utf-8", "surrogatepass")))
-            else:
-                ids.append(self.vocab.unknown)
-            end = start
-        ids.reverse()
-        return ids
-
-    def stretch(self, text: str) -> tuple[int, ...]:
-        ids = self.known.get(text)
-        if ids is None:
-            marked, short = text.replace(" ", SPACE), len(text) <= LONGEST
-            ids = tuple(self._merged(marked) if short and self.vocab.merging else viterbi(marked, self.vocab, self.stay))
-            if short:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[text] = ids
-        return ids
+    def _learn(self, wanted: set[str]) -> None:
+        """Search each of these stretches once; their ids are kept as the bytes of 32-bit numbers."""
+        fresh = wanted.difference(self.known)
+        if len(self.known) + len(fresh) > REMEMBERED // 2:
+            self.older, self.known, fresh = self.known, {}, wanted
+        for text in fresh:
+            ids = self.older.get(text)
+            if ids is None:
+                marked = text.replace(" ", SPACE)
+                found = [i for part in viterbi(marked, self.vocab, self.stay) for i in part]
+                ids = array("i", found).tobytes()
+                if b"".join(map(self.vocab.raw.__getitem__, found)) != text.encode("utf-8", "surrogatepass"):
+                    self.altered.add(text)
+            self.known[text] = ids
+
+    def encode_all(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[bool]]:
+        """For each text its ids behind a leading space mark (none for NULL or an empty text), and
+        whether decoding them gives the text again."""
+        parts = [self.split(" " + t) if t else [] for t in texts]
+        wanted = set().union(*parts)
+        self._learn(wanted)
+        ids = [np.frombuffer(b"".join(map(self.known.__getitem__, p)), np.int32) for p in parts]
+        # decoding joins what the ids stand for, so a text comes back if each of its stretches does
+        odd = self.altered.intersection(wanted) if self.altered else ()
+        same = [
+            not odd or odd.isdisjoint(p) or decode(i.tolist(), self.vocab) == (t or "")
+            for p, i, t in zip(parts, ids, texts, strict=True)
+        ]
+        if len(self.altered) > REMEMBERED // 2:
+            self.known, self.older, self.altered = {}, {}, set()
+        return ids, same
 
     def encode(self, text: str | None) -> np.ndarray:
-        """Ids of the text behind a leading space mark; none for NULL or an empty text."""
-        if not text:
-            return np.empty(0, np.int32)
-        return np.fromiter(chain.from_iterable(map(self.stretch, self.split(" " + text))), np.int32)
+        return self.encode_all([text])[0][0]
 
 
 def decode(ids: Iterable[int], vocab: Vocabulary) -> str:
@@ -298,28 +332,21 @@ def encode(docs: DataFrame, model: str = MODEL, key: str = "doc_id", check: bool
     texts that hold the space mark itself. NULL and empty texts have no ids. Only ``key`` and
     text are read; repeated rows are encoded alike; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(Vocabulary.load(model))
-    number = uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
     rows = docs.select(F.col(key).alias(key), "text")
     kind = dict(rows.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = shared.value
-        if number not in _encoders:
-            _encoders.clear()
-            _encoders[number] = Encoder(vocab)
-        encoder = _encoders[number]
+        encoder = Encoder(shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                texts = part.column(1).to_pylist()
-                ids = [encoder.encode(t) for t in texts]
+                ids, same = encoder.encode_all(part.column(1).to_pylist())
                 ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
                 flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
                 columns = [part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(np.diff(ends))]
                 if check:
-                    columns.append(pa.array([decode(i.tolist(), vocab) == (t or "") for i, t in zip(ids, texts, strict=True)]))
+                    columns.append(pa.array(same, pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, [key, "ids", "n_ids", "restored"][: len(columns)])
 
     return rows.mapInArrow(run, f"`{key}` {kind}, ids array<int>, n_ids int" + (", restored boolean" if check else ""))

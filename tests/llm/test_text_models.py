@@ -49,17 +49,28 @@ def test_round_trip_on_any_characters(text):
     assert sp.decode(ENCODER.encode(text).tolist(), VOCAB) == text
 
 
-def test_stream_gives_ids_before_the_text_ends():
-    seen = []
-
-    def chars():
-        for i, c in enumerate(("▁the▁house" * 500)):
-            seen.append(i)
-            yield c
-
-    stream = sp.viterbi(chars(), VOCAB, ENCODER.stay)
-    next(stream)
-    assert len(seen) < 500
+@pytest.mark.parametrize("merging", [True, False])
+def test_stream_gives_ids_before_the_text_ends_and_forgets(merging):
+    vocab = dataclasses.replace(VOCAB, merging=merging)
+    text = "▁the▁house▁of\u4e00" * 500
+    search, ids, most = sp.Search(vocab, ENCODER.stay), [], 0
+    for at in range(0, len(text), 7):
+        search.feed(text[at : at + 7])
+        ids += search.certain()
+        most = max(most, len(search.text))
+    assert most < 4 * vocab.reach
+    whole = sp.Search(vocab, ENCODER.stay)
+    whole.feed(text)
+    assert ids + search.rest() == whole.rest() == [i for part in sp.viterbi(text, vocab, ENCODER.stay) for i in part]
+
+
+def test_what_is_remembered_is_bounded_and_frequent_stretches_stay(monkeypatch):
+    monkeypatch.setattr(sp, "REMEMBERED", 40)
+    encoder = sp.Encoder(VOCAB)
+    for i in range(300):
+        text = f"the house {i} of a{i}"
+        assert encoder.encode(text).tolist() == LIBRARY.encode(text)
+        assert len(encoder.known) + len(encoder.older) <= 40 + 5 and " the" in encoder.known
 
 
 def test_unigram_scores_are_the_best():
