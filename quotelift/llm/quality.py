@@ -13,7 +13,7 @@ and any text is scored whole in one pass.
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,14 +38,46 @@ SAMPLE_PER_CLASS = 2048
 REPEATED = b"= ="
 #: Words remembered per task while scoring.
 REMEMBERED = 500_000
+#: Texts whose words are looked up together.
+TOGETHER = 500
 
 
-def buckets_of(word: bytes) -> list[int]:
-    marked = b"<" + word + b">"
-    found = [zlib.crc32(word) & (BUCKETS - 1)]
-    for n in range(GRAMS[0], GRAMS[1] + 1):
-        found += [zlib.crc32(marked[i : i + n], n) & (BUCKETS - 1) for i in range(len(marked) - n + 1)]
-    return found
+#: Multiplier of the rolling hashes and of the scrambling of their sums.
+_STEP, _A, _B = np.uint64(0x100000001B3), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def _bucket(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * _A
+    x = (x ^ (x >> np.uint64(29))) * _B
+    return ((x ^ (x >> np.uint64(32))) & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
+def buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, number of its word) of all n-grams of all words, and of each word as a whole.
+
+    All words are hashed at once over one buffer, ``<`` and ``>`` around each; no word is empty.
+    """
+    if not words:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    data = np.frombuffer(b"<" + b"><".join(words) + b">", np.uint8).astype(np.uint64) + np.uint64(1)
+    start = np.cumsum(size) - size
+    word = np.repeat(np.arange(len(words)), size)
+    place = np.arange(len(data)) - start[word]
+    powers = np.cumprod(np.full(int(size.max()), _STEP, np.uint64))
+    found, owner = [_bucket(np.add.reduceat(data * powers[place], start))], [np.arange(len(words))]
+    left = size[word] - place
+    rolled = np.zeros(len(data), np.uint64)
+    for n in range(1, GRAMS[1] + 1):
+        last = len(data) - n + 1
+        if last <= 0:
+            break
+        rolled = rolled[:last] * _STEP + data[n - 1 :]
+        if n >= GRAMS[0]:
+            whole = left[:last] >= n
+            found.append(_bucket(rolled[whole] + np.uint64(n * int(_B) % 2**64)))
+            owner.append(word[:last][whole])
+    return np.concatenate(found), np.concatenate(owner)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -56,17 +88,14 @@ def words_of(text: str | None) -> list[bytes]:
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a document and their weights, which sum to one (none for an empty text)."""
-    words, ids, weights = words_of(text), [], []
-    counts: dict[bytes, int] = {}
-    for w in words:
-        counts[w] = counts.get(w, 0) + 1
-    for w, n in counts.items():
-        own = buckets_of(w)
-        ids.extend(own)
-        weights.extend([n / (len(own) * len(words))] * len(own))
-    if not ids:
+    words = words_of(text)
+    if not words:
         return np.empty(0, np.int64), np.empty(0, np.float32)
-    unique, place = np.unique(np.array(ids), return_inverse=True)
+    counts = Counter(words)
+    ids, owner = buckets(list(counts))
+    share = np.fromiter(counts.values(), np.float64, len(counts)) / (np.bincount(owner) * len(words))
+    weights = share[owner]
+    unique, place = np.unique(ids, return_inverse=True)
     return unique, np.bincount(place, weights=weights).astype(np.float32)
 
 
@@ -81,29 +110,37 @@ class Model:
         return _Scorer(self)
 
 
-class _Scorer(dict):
-    """Word to its number, worked out when first met and remembered up to a bound."""
+class _Scorer:
+    """Words to their numbers; new words of a batch are worked out together, up to a bound kept."""
 
     def __init__(self, model: Model):
-        self.model = model
-
-    def __missing__(self, word: bytes) -> float:
-        value = float(self.model.add[buckets_of(word)].mean())
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = value
-        return value
+        self.model, self.known = model, {}
+
+    def _learn(self, wanted: set[bytes]) -> None:
+        fresh = wanted.difference(self.known)
+        if len(self.known) + len(fresh) > REMEMBERED:
+            self.known, fresh = {}, wanted
+        words = list(fresh)
+        ids, owner = buckets(words)
+        total = np.bincount(owner, weights=self.model.add[ids], minlength=len(words))
+        self.known.update(zip(words, (total / np.maximum(np.bincount(owner, minlength=len(words)), 1)).tolist(), strict=True))
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        """The score of each text: the bias, and the mean of what its words add."""
+        words = [words_of(t) for t in texts]
+        self._learn(set().union(*words))
+        get = self.known.__getitem__
+        odds = [self.model.bias + (float(np.fromiter(map(get, w), np.float64, len(w)).mean()) if w else 0.0) for w in words]
+        return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
     def score(self, text: str | None) -> float:
-        words = words_of(text)
-        odds = self.model.bias
-        if words:
-            odds += float(np.fromiter(map(self.__getitem__, words), np.float64, len(words)).mean())
-        return 1 / (1 + float(np.exp(-np.clip(odds, -500, 500))))
+        return float(self.scores([text])[0])
 
 
-def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
-    """Gradient descent on the cross-entropy of the softmax output."""
+def train_layers(
+    texts: list[str | None], labels: list[int], seed: int = 7
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(vectors, output layer, bias) by gradient descent on the cross-entropy of the softmax output."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     out = np.zeros((DIMENSIONS, 2), np.float32)
@@ -124,6 +161,12 @@ def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
             out -= rate * np.outer(hidden, p)
             bias -= rate * p
             vectors[ids] -= rate * np.outer(weights, back)
+    return vectors, out, bias
+
+
+def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
+    """The trained layers folded into one number for each bucket."""
+    vectors, out, bias = train_layers(texts, labels, seed)
     return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
@@ -184,7 +227,8 @@ def score_udf(spark: SparkSession, model: Model):
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = shared.value.scorer()
         for texts in batches:
-            yield pd.Series([scorer.score(t) for t in texts], dtype="float64")
+            parts = [scorer.scores(texts.iloc[i : i + TOGETHER].tolist()) for i in range(0, len(texts), TOGETHER)]
+            yield pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
 
     return score
 

@@ -3,6 +3,7 @@
 import collections
 import dataclasses
 import math
+import random
 import re
 import zlib
 
@@ -209,3 +210,43 @@ def test_bias_of_the_classifier_is_that_of_all_labels(spark):
     got = quality.fit(texts, marks, 40)
     assert got.bias - plain.bias == pytest.approx(math.log(good / (len(used) - good)), abs=0.05)
     assert quality.fit(texts, marks, 1000).bias == pytest.approx(quality.fit(texts, marks, 2000).bias)
+
+
+def plain_buckets(word):
+    """The hashes of a word and its n-grams one by one, in whole numbers modulo 2**64."""
+    top, step, a, b = 1 << 64, 0x100000001B3, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+    marked = [c + 1 for c in b"<" + word + b">"]
+
+    def place(x):
+        x = (x ^ (x >> 31)) * a % top
+        x = (x ^ (x >> 29)) * b % top
+        return (x ^ (x >> 32)) % quality.BUCKETS
+
+    found = [place(sum(c * step ** (i + 1) for i, c in enumerate(marked)) % top)]
+    for n in range(quality.GRAMS[0], quality.GRAMS[1] + 1):
+        for i in range(len(marked) - n + 1):
+            rolled = sum(c * step ** (n - 1 - j) for j, c in enumerate(marked[i : i + n]))
+            found.append(place((rolled + n * b) % top))
+    return found
+
+
+def test_score_equals_a_plain_forward_pass():
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["good", "text", "spam", "né", "x", "wörter"]) for _ in range(rng.randint(0, 12))) for _ in range(40)]
+    labels = [int("spam" not in t) for t in texts]
+    vectors, out, bias = quality.train_layers(texts, labels)
+    model = quality.train(texts, labels)
+    texts += [None, "", "neverseen " * 50, "a" * 3000]
+    want = []
+    for text in texts:
+        words = [quality.REPEATED if a == b else a for a, b in zip((text or "").encode().split(), [b"", *(text or "").encode().split()])]
+        hidden = np.zeros(quality.DIMENSIONS)
+        for w in words:
+            hidden += np.mean([vectors[i].astype(float) for i in plain_buckets(w)], axis=0) / len(words)
+        z = np.exp(hidden @ out.astype(float) + bias)
+        want.append(z[1] / z.sum())
+    got = quality._Scorer(model).scores(texts)
+    assert got == pytest.approx(want, abs=1e-5)
+    # one by one, or with little memory, they are the same to the last bit
+    small = quality._Scorer(model)
+    assert [small.score(t) for t in texts] == got.tolist()
