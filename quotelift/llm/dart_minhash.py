@@ -46,7 +46,7 @@ EDGES = [0.0, 0.0625, 0.25, 0.5, 1.0]
 SKETCH_LEAST = int(COORDINATES * THRESHOLD - 4 * (COORDINATES * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
 #: Buckets up to this size pair their members off at once in the second round.
 SMALL_BUCKET = 16
-#: Shingles that are worked on together.
+#: Darts that are thrown together; a text throws ``DARTS`` or, if longer, looks at each shingle once.
 BATCH = 400_000
 REMEMBERED = 500_000
 #: Shingles of texts that are kept while pairs are counted.
@@ -103,7 +103,16 @@ def _poisson_steps(mean: float) -> np.ndarray:
 
 
 def _throw(best, keys, owner, cell, low, width) -> None:
-    """Throw the darts of regions (key, cell) and keep the earliest per owner and coordinate."""
+    """Throw the darts of regions (key, cell) and keep the earliest per owner and coordinate.
+
+    The earliest of parts is the earliest of all, so long inputs are taken in parts.
+    """
+    if len(keys) > BATCH:
+        for at in range(0, len(keys), BATCH):
+            part = slice(at, at + BATCH)
+            own = [x[part] if np.ndim(x) else x for x in (cell, low)]
+            _throw(best, keys[part], owner[part], *own, width)
+        return
     region = mix(keys + np.atleast_1d(cell) * _A)
     chance = (region >> np.uint64(11)).astype(np.float64) / 2**53
     count = np.searchsorted(_STEPS[width], chance, side="right")
@@ -203,7 +212,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 ids.append(doc_id)
                 digests.append(xxhash.xxh128_digest(b" ".join(text.encode("utf-8", "surrogatepass").split())))
                 sets.append(found)
-                size += len(found)
+                size += max(len(found), DARTS)
                 if size >= BATCH:
                     yield out(ids, digests, sets)
                     ids, digests, sets, size = [], [], [], 0

@@ -240,3 +240,18 @@ def test_queries_left_short_are_scanned_again(spark, points, monkeypatch):
     rows = vectors(spark, points)
     got = collections.Counter(r["query_id"] for r in adaptive_scan.search(rows, rows.filter("vec_id % 50 = 0")).collect())
     assert got == {q: 20 for q in range(0, len(points), 50)}
+
+
+def test_signatures_take_no_more_memory_for_many_short_texts(monkeypatch):
+    """Batches are bounded by darts, and the parts of a long input give the same signature."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    texts = [np.sort(rng.integers(0, 2**63, 10).astype(np.uint64)) for _ in range(int(dart_minhash.BATCH / dart_minhash.DARTS))]
+    tracemalloc.start()
+    whole = dart_minhash.signatures(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    monkeypatch.setattr(dart_minhash, "BATCH", 1000)
+    assert (dart_minhash.signatures(texts[:20]) == whole[:20]).all()

@@ -45,14 +45,15 @@ LAYOUT = """<html><head><title>T</title><style>p{{x:y}}</style></head><body clas
 <form><p>Name {n}</p><input></form><footer>Foot {n}</footer></body></html>"""
 
 
-def test_named_parts_and_template_text_go(spark):
+def test_named_parts_go_and_all_of_the_article_stays(spark):
     rows = [(i, f"http://h.net/{i}", LAYOUT.format(n=f"n{i}x")) for i in range(12)]
     rows.append((100, "http://other.net/", LAYOUT.format(n="solo")))
     got = texts(spark, rows)
+    # nothing of an article is dropped, also not a line that the articles of a host share
+    shared = "Share this page with all your friends now"
     for i in range(12):
-        assert got[i] == f"Title n{i}x & more\nFirst line n{i}x\nSecond bold line <n{i}x> same block"
-    # a host with one page has no template: its fixed line cannot be told from text
-    assert got[100].endswith("same block\nShare this page with all your friends now")
+        assert got[i] == f"Title n{i}x & more\nFirst line n{i}x\nSecond bold line <n{i}x> same block\n{shared}"
+    assert got[100].endswith(f"same block\n{shared}")
 
 
 def test_equal_pages_keep_their_text(spark):
