@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotelift.operators import kmeans
 from quotelift.operators.columns import replace_columns
 from quotelift.operators.ordering import exact_quantiles
 from quotelift.operators.profile import features_long
@@ -101,24 +99,11 @@ def scale(df: DataFrame, cols: Sequence[str], strategy: str) -> DataFrame:
     return fit_scaler(df, cols, strategy).apply(df)
 
 
-def _vectors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(cols), outputCol="features_vec").transform(df)
-
-
-def best_kmeans(vectors: DataFrame, k: int, restarts: int, seed: int) -> KMeansModel:
-    """Of several seeded fits, the one with the lowest total distance."""
-    fits = [
-        KMeans(featuresCol="features_vec", predictionCol="cluster", k=k, seed=seed + i).fit(vectors)
-        for i in range(restarts)
-    ]
-    return min(fits, key=lambda m: m.summary.trainingCost)
-
-
-def silhouette(model: KMeansModel, vectors: DataFrame) -> float:
-    if len(model.clusterCenters()) < 2:
-        return 0.0
-    evaluator = ClusteringEvaluator(featuresCol="features_vec", predictionCol="cluster")
-    return float(evaluator.evaluate(model.transform(vectors)))
+def _spaces(df: DataFrame, scalers: Sequence[Scaler]) -> tuple[DataFrame, dict[str, list[str]]]:
+    """The scaled features of all scalings as double columns, written once, and their names."""
+    named = {x.strategy: {c: f"_{i}_{j}" for j, c in enumerate(x.params)} for i, x in enumerate(scalers)}
+    columns = [x.scaled(c).alias(named[x.strategy][c]) for x in scalers for c in x.params]
+    return materialize(df.select(columns), "points"), {s: list(cols.values()) for s, cols in named.items()}
 
 
 def kmeans_sweep(
@@ -129,25 +114,31 @@ def kmeans_sweep(
     restarts: int = fv.CLUSTER_RESTARTS,
     seed: int = fv.CLUSTER_SEED,
 ) -> DataFrame:
-    """Inertia and silhouette for each scaling and K."""
-    rows = []
+    """Inertia and silhouette for each scaling and K, all fits moved by one scan per step."""
     base = materialize(df.select(*cols), "entities")
-    for strategy in strategies:
-        vectors = _vectors(scale(base, cols, strategy), cols).select("features_vec").cache()
-        for k in ks:
-            model = best_kmeans(vectors, k, restarts, seed)
-            rows.append(
-                (strategy, k, float(model.summary.trainingCost), silhouette(model, vectors))
-            )
-        vectors.unpersist()
+    points, spaces = _spaces(base, [fit_scaler(base, cols, s) for s in strategies])
+    fits = kmeans.fit_all(points, spaces, ks, restarts, seed)
+    rows = [(f.space, f.k, f.inertia, f.silhouette) for f in fits]
     schema = "scaling string, k int, inertia double, silhouette double"
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+@dataclass(frozen=True)
+class Centers:
+    """Cluster centres in scaled units, one list of coordinates each."""
+
+    values: tuple[tuple[float, ...], ...]
+
+    def nearest(self, x: Sequence[Column]) -> Column:
+        """Number of the nearest centre; of equally near ones the first."""
+        far = [sum(((a - F.lit(v)) * (a - F.lit(v)) for a, v in zip(x, c, strict=True)), F.lit(0.0)) for c in self.values]
+        return F.array_min(F.array(*[F.struct(d.alias("far"), F.lit(i).alias("number")) for i, d in enumerate(far)]))["number"]
+
+
 @dataclass
 class ClusterFit:
     scaler: Scaler
-    model: KMeansModel
+    model: Centers
     assigned: DataFrame  # entity, features, cluster
     inertia: float
     silhouette: float
@@ -163,42 +154,29 @@ def kmeans_fit(
 ) -> ClusterFit:
     """Final clustering; ``assigned`` carries the cluster as text next to the features."""
     scaler = fit_scaler(df, cols, strategy)
-    named = {c: f"_s_{c}" for c in cols}
-    vectors = _vectors(
-        df.withColumns({named[c]: scaler.scaled(c) for c in cols}), list(named.values())
-    ).cache()
-    model = best_kmeans(vectors, k, restarts, seed)
-    quality = silhouette(model, vectors)
-    inertia = float(model.summary.trainingCost)
-    assigned = (
-        model.transform(vectors)
-        .withColumn("cluster", F.col("cluster").cast("string"))
-        .select(*df.columns, "cluster")
-    )
-    assigned = materialize(assigned, "clusters")
-    vectors.unpersist()
-    return ClusterFit(scaler, model, assigned, inertia, quality)
+    points, spaces = _spaces(df, [scaler])
+    fit = kmeans.fit_all(points, spaces, [k], restarts, seed)[0]
+    model = Centers(tuple(tuple(map(float, c)) for c in fit.centers))
+    assigned = materialize(label_entities(df, scaler, model), "clusters")
+    return ClusterFit(scaler, model, assigned, fit.inertia, fit.silhouette)
 
 
 def save_clusters(fit: ClusterFit, path: str) -> None:
     """Scaler and centres, enough to label entities in another session."""
-    fit.model.write().overwrite().save(f"{path}/kmeans")
-    kept = {"strategy": fit.scaler.strategy, "params": dict(fit.scaler.params)}
-    save_note(SparkSession.active(), kept, f"{path}/scaler")
+    kept = {"strategy": fit.scaler.strategy, "params": dict(fit.scaler.params), "centers": fit.model.values}
+    save_note(SparkSession.active(), kept, f"{path}/clusters")
 
 
-def load_clusters(path: str) -> tuple[Scaler, KMeansModel]:
-    kept = load_note(SparkSession.active(), f"{path}/scaler")
+def load_clusters(path: str) -> tuple[Scaler, Centers]:
+    kept = load_note(SparkSession.active(), f"{path}/clusters")
     params = {c: (center, width) for c, (center, width) in kept["params"].items()}
-    return Scaler(kept["strategy"], params), KMeansModel.load(f"{path}/kmeans")
+    return Scaler(kept["strategy"], params), Centers(tuple(map(tuple, kept["centers"])))
 
 
-def label_entities(df: DataFrame, scaler: Scaler, model: KMeansModel) -> DataFrame:
+def label_entities(df: DataFrame, scaler: Scaler, model: Centers) -> DataFrame:
     """Add the cluster as text; features must be filled as they were for the fit."""
-    named = {c: f"_s_{c}" for c in scaler.params}
-    scaled = df.withColumns({named[c]: scaler.scaled(c) for c in named})
-    found = model.transform(_vectors(scaled, list(named.values())))
-    return found.withColumn("cluster", F.col("cluster").cast("string")).select(*df.columns, "cluster")
+    found = model.nearest([scaler.scaled(c) for c in scaler.params])
+    return df.withColumn("cluster", found.cast("string")).select(*df.columns, "cluster")
 
 
 def attach_cluster(df: DataFrame, assigned: DataFrame, entity: str, out: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -23,6 +24,7 @@ from quotelift.operators.features import (
 )
 from quotelift.operators.ordering import exact_quantiles
 from quotelift.operators.profile import features_long
+from quotelift.operators.together import IN_FLIGHT, run_together
 from quotelift.plans import fixed_values as fv
 from quotelift.session import materialize, scratch_path, spread
 
@@ -94,6 +96,7 @@ def fs_methods(
     methods: Mapping[str, Mapping] | None = None,
     seeds: Sequence[int] = tuple(fv.SELECTION_SEEDS),
     train_fraction: float = fv.SELECTION_TRAIN_FRACTION,
+    in_flight: int = IN_FLIGHT,
 ) -> tuple[DataFrame, DataFrame]:
     """Importances and validation quality per method and seed.
 
@@ -101,12 +104,9 @@ def fs_methods(
     seed, ap, auc_pr)``. Both have one row per slot or fit, never per data row.
     """
     spark: SparkSession = df.sparkSession
-    base = materialize(
-        spread(df.select(key, F.col(label).cast("int").alias("label"), *categorical, *numeric)),
-        "select",
-    )
-    importances, quality = [], []
-    for seed in seeds:
+    base = spread(df.select(key, F.col(label).cast("int").alias("label"), *categorical, *numeric))
+
+    def prepare(seed: int) -> tuple[DataFrame, DataFrame, list[str]]:
         train = materialize(
             stratified_sample(base, "label", {0: train_fraction, 1: train_fraction}, seed), "train"
         )
@@ -114,27 +114,27 @@ def fs_methods(
         empty = all_null_columns(train, numeric)
         usable = [c for c in numeric if c not in empty]
         prepared = preprocess_stages(categorical, usable).fit(train)
-        train_vec = prepared.transform(train).select("label", "features_vec").cache()
-        valid_vec = prepared.transform(valid).select(key, "label", "features_vec").cache()
-        slots = slot_features(train_vec)
-        for method, settings in (methods or METHODS).items():
-            model = _without_summary(_classifier(method, settings, seed).fit(train_vec))
-            scored = materialize(
-                model.transform(valid_vec).select(
-                    key,
-                    "label",
-                    vector_to_array("probability")[1].alias("score"),
-                ),
-                "selection-scores",
-            )
-            ap = average_precision_rows(scored, "label", "score", key).first()["ap"]
-            area = average_precision(scored, "label", "score").first()["auc_pr"]
-            quality.append((method, seed, float(ap), float(area)))
-            importances += [
-                (method, seed, feature, value) for feature, value in zip(slots, _importances(model))
-            ]
-        train_vec.unpersist()
-        valid_vec.unpersist()
+        vectors = prepared.transform(train).select("label", "features_vec")
+        slots = slot_features(vectors)
+        held = prepared.transform(valid).select(key, "label", "features_vec")
+        return materialize(vectors, "train-vectors"), materialize(held, "valid-vectors"), slots
+
+    parts = dict(zip(seeds, run_together(spark, [partial(prepare, s) for s in seeds], in_flight), strict=True))
+
+    def fit(method: str, settings: Mapping, seed: int) -> tuple[list[float], float, float]:
+        train, valid, _ = parts[seed]
+        model = _without_summary(_classifier(method, settings, seed).fit(train))
+        scored = model.transform(valid).select(key, "label", vector_to_array("probability")[1].alias("score"))
+        scored = materialize(scored, "selection-scores")
+        ap = average_precision_rows(scored, "label", "score", key).first()["ap"]
+        area = average_precision(scored, "label", "score").first()["auc_pr"]
+        return _importances(model), float(ap), float(area)
+
+    tasks = [(m, settings, seed) for seed in seeds for m, settings in (methods or METHODS).items()]
+    importances, quality = [], []
+    for (m, _, seed), (values, ap, area) in zip(tasks, run_together(spark, [partial(fit, *t) for t in tasks], in_flight), strict=True):
+        quality.append((m, seed, ap, area))
+        importances += [(m, seed, feature, value) for feature, value in zip(parts[seed][2], values)]
     return (
         spark.createDataFrame(importances, "method string, seed int, feature string, importance double"),
         spark.createDataFrame(quality, "method string, seed int, ap double, auc_pr double"),

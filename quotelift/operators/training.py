@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial, reduce
 from itertools import product
 from statistics import fmean, pstdev
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from quotelift.operators.columns import blanks_to_null, cast_double, unpivot_sco
 from quotelift.operators.evaluation import average_precision
 from quotelift.operators.features import all_null_columns, kfold, preprocess_stages, truncate_apply
 from quotelift.operators.ordering import local_rank
+from quotelift.operators.together import IN_FLIGHT, run_together
 from quotelift.plans import fixed_values as fv
 from quotelift.session import load_note, materialize, save_note, spread
 
@@ -62,38 +64,48 @@ def cv_grid(
     iterations: int = fv.GRID_ITERATIONS,
     folds: int = fv.CV_FOLDS,
     seed: int = fv.CV_SEED,
+    in_flight: int = IN_FLIGHT,
 ) -> DataFrame:
     """AUC-PR per grid point: mean and population deviation over hash folds.
 
+    The folds are prepared once each and written; then all fits of all folds run side by side, at
+    most ``in_flight`` of them.
+
     Preprocessing is fitted on the training part of each fold; a numeric column without any
     value there is left out. The area is exact, from counts per distinct score. ``df`` needs
     ``weight``.
     """
     spark = df.sparkSession
     combos = list(combos or grid())
-    folded = kfold(df, key, folds, seed).select("fold", label, "weight", *categorical, *numeric)
-    with_fold = materialize(spread(folded), "folds")
-    areas: dict[str, list[float]] = {c.model_id: [] for c in combos}
-    for i in range(folds):
+    with_fold = spread(kfold(df, key, folds, seed).select("fold", label, "weight", *categorical, *numeric))
+
+    def prepare(i: int) -> tuple[DataFrame, DataFrame]:
         train, valid = with_fold.filter(F.col("fold") != i), with_fold.filter(F.col("fold") == i)
         empty = all_null_columns(train, numeric)
         prepared = preprocess_stages(categorical, [c for c in numeric if c not in empty]).fit(train)
-        train_vec = prepared.transform(train).select(label, "weight", "features_vec").cache()
-        valid_vec = prepared.transform(valid).select(label, "features_vec").cache()
-        scored = None
-        for combo in combos:
-            model = _gbt(combo, iterations, label, seed).fit(train_vec)
-            one = model.transform(valid_vec).select(
-                F.lit(combo.model_id).alias("model_id"),
-                label,
-                vector_to_array("probability")[1].alias("score"),
-            )
-            scored = one if scored is None else scored.unionByName(one)
-        # one row per grid point
-        for r in average_precision(scored, label, "score", ["model_id"]).collect():
-            areas[r["model_id"]].append(float(r["auc_pr"]))
-        train_vec.unpersist()
-        valid_vec.unpersist()
+        # written once: a lost executor costs a read, not the preprocessing
+        vectors = materialize(prepared.transform(train).select(label, "weight", "features_vec"), "fold-train")
+        return vectors, materialize(prepared.transform(valid).select(label, "features_vec"), "fold-valid")
+
+    parts = run_together(spark, [partial(prepare, i) for i in range(folds)], in_flight)
+
+    def fit(i: int, combo: Combo) -> DataFrame:
+        train, valid = parts[i]
+        model = _gbt(combo, iterations, label, seed).fit(train)
+        scored = model.transform(valid).select(
+            F.lit(i).alias("fold"),
+            F.lit(combo.model_id).alias("model_id"),
+            label,
+            vector_to_array("probability")[1].alias("score"),
+        )
+        return materialize(scored, "fold-scores")
+
+    tasks = [partial(fit, i, combo) for i in range(folds) for combo in combos]
+    scored = reduce(DataFrame.unionByName, run_together(spark, tasks, in_flight))
+    areas: dict[str, list[float]] = {c.model_id: [] for c in combos}
+    # one row per fold and grid point
+    for r in average_precision(scored, label, "score", ["model_id", "fold"]).orderBy("fold").collect():
+        areas[r["model_id"]].append(float(r["auc_pr"]))
     rows = [
         (c.model_id, c.depth, c.step, fmean(areas[c.model_id]), pstdev(areas[c.model_id]))
         for c in combos
@@ -121,30 +133,35 @@ def train_final(
     combos: Sequence[Combo] | None = None,
     iterations: int = fv.FINAL_ITERATIONS,
     seed: int = fv.CV_SEED,
+    in_flight: int = IN_FLIGHT,
 ) -> tuple[ScoringSet, DataFrame]:
     """Fit every grid point on all model rows; no winner is chosen.
 
     Preprocessing does not depend on the grid point and is fitted once. Also returns the
     training quality ``model_id, ap, auc_pr`` for the overfit gap.
     """
-    rows = materialize(spread(df.select(label, "weight", *categorical, *numeric)), "train")
+    spark = df.sparkSession
+    rows = spread(df.select(label, "weight", *categorical, *numeric))
     # a column without any value cannot be filled in and teaches nothing
     empty = all_null_columns(rows, numeric)
     numeric = [c for c in numeric if c not in empty]
     prepared = preprocess_stages(categorical, numeric).fit(rows)
-    vectors = prepared.transform(rows).select(label, "weight", "features_vec").cache()
-    models, scored = {}, None
-    for combo in combos or grid():
+    vectors = materialize(prepared.transform(rows).select(label, "weight", "features_vec"), "train-vectors")
+    combos = list(combos or grid())
+
+    def fit(combo: Combo) -> tuple[GBTClassificationModel, DataFrame]:
         model = _gbt(combo, iterations, label, seed).fit(vectors)
-        models[combo.model_id] = PipelineModel(stages=[*prepared.stages, model])
-        one = model.transform(vectors).select(
+        scored = model.transform(vectors).select(
             F.lit(combo.model_id).alias("model_id"),
             label,
             vector_to_array("probability")[1].alias("score"),
         )
-        scored = one if scored is None else scored.unionByName(one)
+        return model, materialize(scored, "train-scores")
+
+    fitted = run_together(spark, [partial(fit, c) for c in combos], in_flight)
+    models = {c.model_id: PipelineModel(stages=[*prepared.stages, m]) for c, (m, _) in zip(combos, fitted, strict=True)}
+    scored = reduce(DataFrame.unionByName, [s for _, s in fitted])
     quality = materialize(average_precision(scored, label, "score", ["model_id"]), "train-quality")
-    vectors.unpersist()
     learned = {c: list(v) for c, v in (lists or {}).items()}
     return ScoringSet(list(categorical), list(numeric), learned, models), quality
 

@@ -1076,24 +1076,45 @@ oracle(
               round(avg(coalesce(days, (SELECT avg(days) FROM v_features))), 6) AS days_mean
        FROM v_features""",
 )
+# in each group all brokers have their group's mean as centre: the inertia is what is left in groups
+_SCALED = {
+    "standard": lambda c: f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()",
+    "log1p_standard": lambda c: f"(ln(1 + {c}) - avg(ln(1 + {c})) OVER ()) / stddev_pop(ln(1 + {c})) OVER ()",
+    "robust": lambda c: f"""({c} - quantile_cont({c}, 0.5) OVER ())
+        / (quantile_cont({c}, 0.75) OVER () - quantile_cont({c}, 0.25) OVER ())""",
+}
+
+
+def _inertia(scaling: str) -> str:
+    columns = ("rate_mean", "volume_mean", "n_products")
+    scaled = ", ".join(f"{_SCALED[scaling](c)} AS x{i}" for i, c in enumerate(columns))
+    spread = " + ".join(f"count(*) * var_pop(x{i})" for i in range(len(columns)))
+    return f"""SELECT sum(s) AS inertia FROM (
+        SELECT {spread} AS s FROM (SELECT broker_id, {scaled} FROM v_grouped_entities) GROUP BY broker_id % 3)"""
+
+
 oracle(
     "kmeans_sweep",
-    "",
-    f"""SELECT scaling, CAST(k AS INTEGER) AS k, true AS plausible
-        FROM (VALUES ('standard'), ('log1p_standard'), ('robust')) s(scaling),
+    "v_grouped_entities",
+    f"""SELECT scaling, CAST(k AS INTEGER) AS k, CASE WHEN k = 3 THEN round(inertia, 6) END AS inertia,
+               k = 3 AS is_best, true AS falls
+        FROM ({" UNION ALL ".join(f"SELECT '{s}' AS scaling, inertia FROM ({_inertia(s)})" for s in _SCALED)}),
              range({fv.CLUSTER_COUNTS[0]}, {fv.CLUSTER_COUNTS[-1] + 1}) r(k)""",
 )
 oracle(
     "kmeans_fit",
-    "v_entities",
-    """SELECT count(*) AS n_rows, count(*) AS n_brokers, count(*) AS n_named,
-              CAST(3 AS BIGINT) AS n_clusters FROM v_entities""",
+    "v_grouped_entities",
+    f"""SELECT broker_id, min(broker_id) OVER (PARTITION BY broker_id % 3) AS first_broker,
+               (SELECT round(inertia, 6) FROM ({_inertia("log1p_standard")})) AS inertia
+        FROM v_grouped_entities""",
 )
 oracle(
     "fs_methods",
     "",
     f"""SELECT CAST(5 AS BIGINT) AS n_features, CAST(5 AS BIGINT) AS n_ranks, CAST(5 AS BIGINT) AS last_rank,
-               CAST(5 AS BIGINT) AS n_scored, CAST({3 * len(fv.SELECTION_SEEDS)} AS BIGINT) AS n_fits""",
+               CAST(5 AS BIGINT) AS n_scored, 'age' AS first_feature,
+               CAST({3 * len(fv.SELECTION_SEEDS)} AS BIGINT) AS n_good_fits,
+               CAST({2 * len(fv.SELECTION_SEEDS)} AS BIGINT) AS n_firsts""",
 )
 GRID = ", ".join(
     f"('d{d}_s{str(s).replace('.', '')}', {d}, {s}::DOUBLE)" for d in fv.GRID_DEPTHS for s in fv.GRID_STEPS
@@ -1101,22 +1122,23 @@ GRID = ", ".join(
 oracle(
     "cv_grid",
     "",
-    f"SELECT *, true AS plausible FROM (VALUES {GRID}) g(model_id, max_depth, step_size)",
+    f"SELECT *, true AS learned, true AS steady FROM (VALUES {GRID}) g(model_id, max_depth, step_size)",
 )
 oracle(
     "train_final",
-    "v_features",
-    f"""SELECT model_id, count(*) AS n_scored, CAST(sum(label) AS BIGINT) AS n_pos, true AS plausible
-        FROM v_features, (VALUES {GRID}) g(model_id, max_depth, step_size) GROUP BY model_id""",
+    "v_learnable",
+    f"""SELECT model_id, count(*) AS n_scored, CAST(sum(label) AS BIGINT) AS n_pos, true AS learned
+        FROM v_learnable, (VALUES {GRID}) g(model_id, max_depth, step_size) GROUP BY model_id""",
 )
 oracle(
     "model_roundtrip",
-    "v_features",
-    "SELECT count(*) AS n_rows, CAST(0 AS DOUBLE) AS max_difference FROM v_features",
+    "v_learnable",
+    "SELECT count(*) AS n_rows, CAST(0 AS DOUBLE) AS max_difference FROM v_learnable",
 )
 oracle(
     "score_wide",
-    "v_features",
-    f"""SELECT model_id, count(*) AS n_rows, count(*) AS n_scored, count(*) AS n_ranks, count(*) AS last_rank
-        FROM v_features, (VALUES {GRID}) g(model_id, max_depth, step_size) GROUP BY model_id""",
+    "v_learnable",
+    f"""SELECT model_id, count(*) AS n_rows, count(*) AS n_scored, count(*) AS n_ranks, count(*) AS last_rank,
+               true AS learned
+        FROM v_learnable, (VALUES {GRID}) g(model_id, max_depth, step_size) GROUP BY model_id""",
 )

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from quotelift.functions import (
     blank_to_null,
@@ -854,23 +855,27 @@ def scale_robust(spark, sf):
 
 @query
 def kmeans_sweep(spark, sf):
-    df = view(spark, sf, "v_entities")
-    out = cluster.kmeans_sweep(df, ENTITY_COLS)
-    plausible = (F.col("inertia") > 0) & F.col("silhouette").between(-1, 1)
-    return out.select("scaling", "k", plausible.alias("plausible"))
+    """All fits of the sweep on brokers in three groups: the exact inertia where K is 3."""
+    out = cluster.kmeans_sweep(view(spark, sf, "v_grouped_entities"), ENTITY_COLS)
+    best = W.partitionBy("scaling").orderBy(F.col("silhouette").desc())
+    fewer = F.lag("inertia").over(W.partitionBy("scaling").orderBy("k"))
+    out = out.select(
+        "scaling",
+        "k",
+        F.when(F.col("k") == 3, F.col("inertia")).alias("inertia"),
+        (F.row_number().over(best) == 1).alias("is_best"),
+        F.coalesce(F.col("inertia") <= fewer, F.lit(True)).alias("falls"),
+    )
+    return rounded(out, "inertia")
 
 
 @query
 def kmeans_fit(spark, sf):
-    df = entities(spark, sf)
+    """The groups that the fit finds, each named by its smallest broker, and the inertia."""
+    df = view(spark, sf, "v_grouped_entities")
     fit = cluster.kmeans_fit(df, ENTITY_COLS, 3, "log1p_standard")
-    named = F.col("cluster").isin("0", "1", "2")
-    return fit.assigned.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct(F.col("broker_id")).alias("n_brokers"),
-        F.count_if(named).alias("n_named"),
-        F.count_distinct(F.col("cluster")).alias("n_clusters"),
-    )
+    first = F.min("broker_id").over(W.partitionBy("cluster")).alias("first_broker")
+    return rounded(fit.assigned.select("broker_id", first, F.lit(fit.inertia).alias("inertia")), "inertia")
 
 
 def fixed_clusters(spark, sf) -> DataFrame:
@@ -920,20 +925,33 @@ def label_audit(spark, sf):
     return selection.label_audit(df, "label")
 
 
+#: By so much the area under the precision-recall curve of a model must exceed the base rate.
+LEARNED_MARGIN = 0.3
+
+
+def base_rate_of(df: DataFrame) -> float:
+    return df.agg(F.avg("label").alias("r")).first()["r"]
+
+
 @query
 def fs_methods(spark, sf):
-    importances, quality = selection.fs_methods(
-        view(spark, sf, "v_features"), "quote_id", "label", CATEGORICAL, NUMERIC
-    )
+    """All fits of the selection; the feature that the label follows must come out first."""
+    df = view(spark, sf, "v_learnable")
+    importances, quality = selection.fs_methods(df, "quote_id", "label", CATEGORICAL, NUMERIC)
     scores = selection.rank_score(importances, CATEGORICAL + NUMERIC, ["method", "seed"])
     ranked = selection.ensemble_rank(scores, quality)
-    fits = quality.agg(F.count_if(F.col("auc_pr").between(0, 1))).scalar()
+    least = base_rate_of(df) + LEARNED_MARGIN
+    good = quality.agg(F.count_if((F.col("auc_pr") > least) & (F.col("ap") > least))).scalar()
+    # coefficients depend on the unit of a feature, the importances of trees do not
+    firsts = scores.filter("method <> 'lr_l1' and feature = 'age' and score = 1").agg(F.count(F.lit(1))).scalar()
     return ranked.agg(
         F.count(F.lit(1)).alias("n_features"),
         F.count_distinct(F.col("rank_final")).alias("n_ranks"),
         F.max("rank_final").cast("bigint").alias("last_rank"),
         F.count_if(F.col("score_final").between(0, 1)).alias("n_scored"),
-        fits.alias("n_fits"),
+        F.min_by("feature", "rank_final").alias("first_feature"),
+        good.alias("n_good_fits"),
+        firsts.alias("n_firsts"),
     )
 
 
@@ -984,14 +1002,17 @@ def pearson_long(spark, sf):
 
 
 def weighted(spark, sf) -> DataFrame:
-    return features.class_weights(view(spark, sf, "v_features"), "label")
+    return features.class_weights(view(spark, sf, "v_learnable"), "label")
 
 
 @query
 def cv_grid(spark, sf):
-    out = training.cv_grid(weighted(spark, sf), "quote_id", "label", CATEGORICAL, NUMERIC)
-    plausible = F.col("auc_pr_mean").between(0, 1) & F.col("auc_pr_std").between(0, 0.5)
-    return out.select("model_id", "max_depth", "step_size", plausible.alias("plausible"))
+    df = weighted(spark, sf)
+    out = training.cv_grid(df, "quote_id", "label", CATEGORICAL, NUMERIC)
+    learned = F.col("auc_pr_mean").between(base_rate_of(df) + LEARNED_MARGIN, 1)
+    return out.select(
+        "model_id", "max_depth", "step_size", learned.alias("learned"), (F.col("auc_pr_std") < 0.05).alias("steady")
+    )
 
 
 _fitted: dict[tuple[str, str], tuple[training.ScoringSet, DataFrame]] = {}
@@ -1007,8 +1028,9 @@ def trained(spark, sf) -> tuple[training.ScoringSet, DataFrame]:
 
 @query
 def train_final(spark, sf):
-    plausible = F.col("ap").between(0, 1) & F.col("auc_pr").between(0, 1)
-    return trained(spark, sf)[1].select("model_id", "n_scored", "n_pos", plausible.alias("plausible"))
+    least = base_rate_of(weighted(spark, sf)) + LEARNED_MARGIN
+    learned = F.col("ap").between(least, 1) & F.col("auc_pr").between(least, 1)
+    return trained(spark, sf)[1].select("model_id", "n_scored", "n_pos", learned.alias("learned"))
 
 
 @query
@@ -1018,7 +1040,7 @@ def model_roundtrip(spark, sf):
     path = scratch_path(spark, "models")
     training.save_models(fitted, path)
     loaded = training.load_models(path)
-    df = view(spark, sf, "v_features")
+    df = view(spark, sf, "v_learnable")
     before = training.score_models(df, fitted, "quote_id")
     after = training.score_models(df, loaded, "quote_id")
     named = after.withColumnsRenamed({c: f"{c}_loaded" for c in after.columns if c != "quote_id"})
@@ -1031,15 +1053,20 @@ def model_roundtrip(spark, sf):
 
 @query
 def score_wide(spark, sf):
+    """Wide scores of all models; each must rank issued quotes well above the base rate."""
     fitted, _ = trained(spark, sf)
-    df = view(spark, sf, "v_features")
+    df = view(spark, sf, "v_learnable")
     wide = training.score_wide(df, fitted, "quote_id", {"mode_code": "D", "inf_versao": "1"})
-    return long_scores(wide, "quote_id").groupBy("model_id").agg(
+    long = materialize(long_scores(wide, "quote_id", "label"), "wide-scores")
+    areas = evaluation.average_precision(long, "label", "score", ["model_id"])
+    learned = F.col("ap").between(base_rate_of(df) + LEARNED_MARGIN, 1)
+    by_rank = long.groupBy("model_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("score").between(0, 1)).alias("n_scored"),
         F.count_distinct(F.col("score_rank")).alias("n_ranks"),
         F.max("score_rank").cast("bigint").alias("last_rank"),
     )
+    return by_rank.join(areas.select("model_id", learned.alias("learned")), "model_id")
 
 
 def wide_scores(spark, sf) -> DataFrame:

@@ -61,10 +61,19 @@ def load_note(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path).first()["value"])
 
 
+#: Rows of a partition below which an iterative fit gains nothing from more partitions, and at most.
+FEW_ROWS, MANY_ROWS = 20_000, 1_000_000
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Even partitions for frames that an iterative fit reads many times.
+    """``df`` written once in even partitions, for fits that read it many times.
 
-    One shuffle up front; a frame read from few or uneven files would otherwise keep
-    most cores idle in every iteration.
+    The number of partitions follows from the rows: small tables have few, so that a step of a fit
+    is not spent on starting tasks, and large ones have no partition above ``MANY_ROWS``.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spark = df.sparkSession
+    rows = materialize(df, "rows")
+    n = rows.count()  # from the files' footers
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(1, min(most, -(-n // FEW_ROWS)), -(-n // MANY_ROWS))
+    return materialize(rows.repartition(partitions), "spread")

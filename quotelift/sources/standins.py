@@ -145,6 +145,22 @@ VIEWS = {
                avg(l_quantity) AS volume_mean, count(DISTINCT l_partkey) AS n_products
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
         GROUP BY o_custkey""",
+    # the same brokers in three groups far apart, for what a clustering must find
+    "v_grouped_entities": """
+        SELECT o_custkey AS broker_id, avg(l_discount) + 2 * (o_custkey % 3) AS rate_mean,
+               avg(l_quantity) + 200 * (2 * o_custkey % 3) AS volume_mean,
+               count(DISTINCT l_partkey) + 1000 * (o_custkey % 3) AS n_products
+        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+        GROUP BY o_custkey""",
+    # features of v_features whose label follows the age but for one quote in ten
+    "v_learnable": """
+        SELECT o_orderkey AS quote_id,
+               CASE WHEN (o_custkey % 97 >= 49) <> (o_orderkey % 10 = 3) THEN 1 ELSE 0 END AS label,
+               o_orderpriority AS priority, CAST(o_custkey % 25 AS VARCHAR(20)) AS office,
+               o_totalprice AS premium, CAST(o_custkey % 97 AS DOUBLE) AS age,
+               CASE WHEN o_orderkey % 4 = 0 THEN NULL
+                    ELSE CAST(o_orderkey % 365 AS DOUBLE) END AS days
+        FROM {orders} WHERE o_orderstatus IN ('F', 'O')""",
 }
 _TABLE = re.compile(r"\{(\w+)\}")
 

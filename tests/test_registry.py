@@ -13,7 +13,7 @@ TABLES = (
 ).split()
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 #: Full fits take minutes; what they use is tested with small settings in test_training.py.
-SLOW = {"kmeans_sweep", "fs_methods", "cv_grid", "train_final", "model_roundtrip", "score_wide"}
+SLOW = {"fs_methods", "cv_grid", "train_final", "model_roundtrip", "score_wide"}
 
 
 @pytest.fixture(scope="module")
