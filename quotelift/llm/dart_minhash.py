@@ -10,7 +10,9 @@ the length of the text, so a signature costs about ``k ln k`` darts whatever the
 Candidates share a whole band of the signature. They are not paired off within a bucket:
 
 1. Every member meets one leader of its bucket, the one with most bucket mates. Pairs that
-   exact counting confirms are links; links give first components.
+   exact counting confirms are links; links give first components. While that finds links, for a few
+   rounds, a bucket with several components gets a new leader from outside its main one, which
+   meets the members of the other components.
 2. Members of a bucket that are still in different components meet as well (except two members
    of the bucket's main component), if their whole signatures agree well enough. In buckets
    with many members, a bound that is exact removes further pairs: shingles that no other
@@ -44,6 +46,9 @@ EDGES = [0.0, 0.0625, 0.25, 0.5, 1.0]
 #: Coordinates (of which a sketch has one byte each) that a pair at the threshold agrees in, but
 #: for a chance of 3 in 100,000 (four standard deviations), which is that of missing all bands.
 SKETCH_LEAST = int(COORDINATES * THRESHOLD - 4 * (COORDINATES * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
+#: Rounds in which buckets with several components get a new leader. What is left after them, or
+#: when a round finds no link, is paired off exactly.
+ROUNDS = 4
 #: Buckets up to this size pair their members off at once in the second round.
 SMALL_BUCKET = 16
 #: Darts that are thrown together; a text throws ``DARTS`` or, if longer, looks at each shingle once.
@@ -301,6 +306,25 @@ def _shareable(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
+def _next_stars(known: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a new leader of each bucket with its members in other components.
+
+    The leader is the member with most mates outside the component that has most members.
+    """
+    comp = found.select("node", F.col("component_id").alias("comp"))
+    now = known.join(comp, "node", "left").select("key", "node", "mates", F.coalesce("comp", "node").alias("comp"))
+    now = materialize(now, "round-members")
+    per = now.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    main = per.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "comp"))["comp"].alias("main"))
+    main = materialize(main.filter("parts > 1").select("key", "main"), "round-open")
+    now = now.join(main, "key")
+    top = F.max(F.struct("mates", (-F.col("node")).alias("minus"), F.col("comp").alias("led"))).alias("top")
+    led = now.filter("comp <> main").groupBy("key").agg(top)
+    led = materialize(led.select("key", (-F.col("top.minus")).alias("leader"), "top.led"), "round-leaders")
+    pairs = now.join(led, "key").filter("comp <> led")
+    return pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+
 def _second_round(members: DataFrame, nodes: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of bucket mates in different components, by the rules above."""
     comp = found.select("node", F.col("component_id").alias("comp"))
@@ -314,9 +338,11 @@ def _second_round(members: DataFrame, nodes: DataFrame, found: DataFrame, texts:
     now = materialize(now.join(open_, "key"), "open-members")
     large = now.filter(F.col("n") > SMALL_BUCKET).select("node", "weight").distinct()
     shared = _shareable(materialize(large, "large"), texts)
-    now = materialize(now.join(shared, "node", "left"), "bounded-members")
+    keys = now.groupBy("node").agg(F.collect_list("key").alias("keys"))  # at most one per band
+    now = now.join(shared, "node", "left").join(keys, "node")
+    now = materialize(now, "bounded-members")
     one = now.filter("comp <> main")
-    names = ("node", "comp", "weight", "sketch", "shared", "n", "main")
+    names = ("node", "comp", "weight", "sketch", "shared", "n", "main", "keys")
     one, two = (
         x.select("key", *[F.col(c).alias(f"{c}_{s}") for c in names]) for x, s in ((one, "a"), (now, "b"))
     )
@@ -329,8 +355,10 @@ def _second_round(members: DataFrame, nodes: DataFrame, found: DataFrame, texts:
     # mates in small buckets need not be among those that the bound has counted
     bounded = F.coalesce(F.col("shared_a") >= THRESHOLD * F.col("weight_a") - 1e-6, F.lit(True))
     alive = (F.col("n_a") <= SMALL_BUCKET) | bounded
+    # a pair that shares several buckets meets in one of them
+    here = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
     met = one.filter(alive).join(two, "key").filter(
-        (F.col("comp_a") != F.col("comp_b")) & once & ((F.col("n_b") <= SMALL_BUCKET) | enough) & alike
+        (F.col("comp_a") != F.col("comp_b")) & once & ((F.col("n_b") <= SMALL_BUCKET) | enough) & alike & here
     )
     return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
@@ -358,7 +386,7 @@ def classes(docs: DataFrame) -> DataFrame:
     buckets = materialize(bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
     members = materialize(bands.join(buckets, "key"), "members")
     mates = materialize(members.groupBy("node").agg(F.sum("n").alias("mates")), "mates")
-    known = members.join(mates, "node")
+    known = materialize(members.join(mates, "node"), "known-members")
     leaders = known.groupBy("key").agg(F.max(F.struct("mates", (-F.col("node")).alias("minus"))).alias("top"))
     leaders = materialize(leaders.select("key", (-F.col("top.minus")).alias("leader")), "leaders")
     stars = members.join(leaders, "key").filter("node <> leader")
@@ -370,8 +398,18 @@ def classes(docs: DataFrame) -> DataFrame:
     kept = materialize(kept.dropDuplicates(["doc_id"]), "bucket-texts")
     links = _similar(_near(stars, nodes), kept)
     early = materialize(components(links), "components")
+    met = stars
+    for _ in range(ROUNDS):
+        more = _next_stars(known, early).join(met, ["a", "b"], "left_anti")
+        more = materialize(more, "next-stars")
+        links = _similar(_near(more, nodes), kept)
+        if links.isEmpty():
+            break
+        met = met.unionByName(more)
+        joined = early.select(F.col("node").alias("a"), F.col("component_id").alias("b"))
+        early = materialize(components(joined.unionByName(links)), "components")
     second = materialize(_second_round(members, nodes, early, kept), "second-round")
-    second = materialize(second.join(stars, ["a", "b"], "left_anti"), "second-pairs")
+    second = materialize(second.join(met, ["a", "b"], "left_anti"), "second-pairs")
     # what is connected already goes on as stars
     joined = early.select(F.col("node").alias("a"), F.col("component_id").alias("b"))
     joined = joined.unionByName(_similar(second, kept)).unionByName(exact)
