@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +23,7 @@ from quotelift.plans import fixed_values as fv
 from quotelift.plans.rules import LogEntry, apply_rules
 from quotelift.session import materialize
 from quotelift.sources import files, tables
+from quotelift.sources.generations import PublishedTable
 
 Toggles = Mapping[str, Mapping[str, bool]]
 
@@ -50,38 +50,56 @@ def load_deliveries(spark: SparkSession, folder: str, bronze: str, limit: int |
 def refresh_latest(
     history: DataFrame,
     batch: DataFrame,
-    path: str,
-    key: str,
+    table: PublishedTable,
+    consumed: int | None,
     ts: str,
     tie: str,
     status: str,
     entries: Mapping[str, str],
     columns: Sequence[str],
-    buckets: int = 64,
 ) -> DataFrame:
-    """Bring the table of latest snapshots and entry times up to date with a load.
+    """Bring the table of latest snapshots and entry times up to date with the loads of ``batch``.
 
-    Only keys of the load are recomputed, over their whole history. The table is kept in
-    ``buckets`` folders by hash of the key, and only folders with a key of the load are
-    written again; size them so that one is read and written quickly.
+    Only keys of the loads are recomputed, over their whole history, and only buckets with such
+    a key are written again; size the buckets so that one is read and written quickly. The
+    table turns to the new state in one commit, which also records that the loads up to
+    ``consumed`` are in it.
     """
-    spark = history.sparkSession
-    home = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+    key = table.key
     again = temporal.latest_with_entries(
         temporal.touched_history(history, batch, key), key, ts, tie, status, entries, columns
     )
-    try:
-        published = spark.read.parquet(path)
-    except AnalysisException:  # the first load
-        published = None
-    if published is not None:
-        # at most one number per folder
-        touched = [r["bucket"] for r in batch.select(home).distinct().collect()]
-        kept = published.filter(F.col("bucket").isin(touched)).drop("bucket")
+    # at most one number per bucket
+    touched = [r["bucket"] for r in batch.select(table.bucket().alias("bucket")).distinct().collect()]
+    kept = table.read(touched)
+    if kept is not None:
         again = temporal.publish_latest(kept.select(*again.columns), again, batch, key)
-    again = materialize(again.select("*", home), "latest")
-    again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-    return spark.read.parquet(path).drop("bucket")
+    table.publish(again, touched, consumed)
+    return table.read()
+
+
+def catch_up(
+    bronze: DataFrame,
+    table: PublishedTable,
+    typed: Callable[[DataFrame], DataFrame],
+    ts: str,
+    tie: str,
+    status: str,
+    columns: Sequence[str],
+) -> DataFrame | None:
+    """The published table with all loads of bronze in it; None if there has been no load.
+
+    The table knows the last load it has consumed. Loads after it are taken in, also those of a
+    run that died before it published; loads that arrive meanwhile wait for the next run.
+    """
+    entries = {"issued_at": fv.ISSUED, "lost_at": fv.LOST}
+    now = table.current()
+    last = bronze.agg(F.max("batch_id").alias("b")).first()["b"]
+    settled = bronze.filter(F.col("batch_id") <= last) if last is not None else bronze
+    fresh = tables.rows_after(settled, now.consumed if now else None)
+    if fresh is None:
+        return table.read()
+    return refresh_latest(typed(settled), typed(fresh), table, last, ts, tie, status, entries, columns)
 
 
 def age_latest(
@@ -112,19 +130,19 @@ def incremental_clean(
     status: str,
     columns: Sequence[str],
     stale_days: int = fv.STALE_DAYS,
+    buckets: int = 64,
 ) -> DataFrame:
     """One scheduled run: load new deliveries, refresh the touched keys, age all rows.
 
     ``typed`` turns bronze text rows into the history that the temporal rule reads. Without
-    a new delivery the table is only aged again.
+    a new delivery the table is only aged again. A run may die at any point: the next one
+    takes in what that one had loaded and not published.
     """
-    entries = {"issued_at": fv.ISSUED, "lost_at": fv.LOST}
-    new = load_deliveries(spark, folder, bronze)
-    if new is None:
-        latest = spark.read.parquet(path).drop("bucket")
-    else:
-        history = typed(spark.table(bronze))
-        latest = refresh_latest(history, typed(new), path, key, ts, tie, status, entries, columns)
+    table = PublishedTable(spark, path, key, buckets)
+    load_deliveries(spark, folder, bronze)
+    latest = catch_up(spark.table(bronze), table, typed, ts, tie, status, columns)
+    if latest is None:
+        raise ValueError(f"no delivery has been loaded into {bronze}")
     return age_latest(latest, ts, status, stale_days)
 
 

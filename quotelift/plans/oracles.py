@@ -319,12 +319,13 @@ oracle(
     f"""{AGED} SELECT quote_id, CAST(datediff('day', ref_date, day) AS INTEGER) AS days_snapshot,
                CAST(datediff('day', ref_date, day) AS INTEGER) AS days_age FROM dated""",
 )
-oracle(
-    "incremental_clean",
-    "v_snapshots",
-    f"""{AGED} SELECT quote_id, event_id, status, was_stale, CAST(days_idle AS INTEGER) AS days_idle,
-        ref_date FROM dated""",
-)
+for _name in ("incremental_clean", "incremental_restart"):
+    oracle(
+        _name,
+        "v_snapshots",
+        f"""{AGED} SELECT quote_id, event_id, status, was_stale, CAST(days_idle AS INTEGER) AS days_idle,
+            ref_date FROM dated""",
+    )
 oracle(
     "temporal_incremental",
     "v_snapshots",

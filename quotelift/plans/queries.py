@@ -416,9 +416,12 @@ def temporal_incremental(spark, sf):
     )
 
 
-@query
-def incremental_clean(spark, sf):
-    """Snapshots arrive as daily deliveries in two runs; the second recomputes what it touches."""
+def daily_runs(spark, sf, dies: bool) -> DataFrame:
+    """Snapshots arrive as daily deliveries for two runs.
+
+    If the second ``dies`` when it has loaded and not yet published, a third run, without any new
+    delivery, must give what the second would have given.
+    """
     folder, path = scratch_path(spark, "daily"), scratch_path(spark, "published")
     bronze = f"daily_{uuid.uuid4().hex}"
     name = F.concat(F.lit("COTACAO_GENERICO_"), F.date_format("day", "yyyyMMdd"), F.lit(".csv"))
@@ -435,18 +438,35 @@ def incremental_clean(spark, sf):
             F.to_timestamp("seen_at").alias("ts_arq"),
         )
 
-    out = None
-    for part in (F.col("day") <= middle, F.col("day") > middle):
-        rows = text.filter(part).select("quote_id", "event_id", "status", F.col("ts_arq").alias("seen_at"), "day")
-        files.write_delivery(rows, f"{folder}/{uuid.uuid4().hex}", name)
-        out = flows.incremental_clean(
+    def run() -> DataFrame:
+        return flows.incremental_clean(
             spark, folder, bronze, path, typed, "quote_id", "ts_arq", "event_id", "status",
             ["quote_id", "event_id", "status", "ts_arq"], STALE_DAYS,
         )
+
+    out = None
+    for number, part in enumerate((F.col("day") <= middle, F.col("day") > middle)):
+        rows = text.filter(part).select("quote_id", "event_id", "status", F.col("ts_arq").alias("seen_at"), "day")
+        files.write_delivery(rows, f"{folder}/{uuid.uuid4().hex}", name)
+        if number and dies:
+            flows.load_deliveries(spark, folder, bronze)
+        out = run()
     spark.sql(f"DROP TABLE {bronze}")
     return out.select("quote_id", "event_id", "status", "was_stale", "days_idle", "ref_date")
 
 
+@query
+def incremental_clean(spark, sf):
+    """Snapshots arrive as daily deliveries in two runs; the second recomputes what it touches."""
+    return daily_runs(spark, sf, dies=False)
+
+
+@query
+def incremental_restart(spark, sf):
+    """As ``incremental_clean``, but the second run dies between load and publish."""
+    return daily_runs(spark, sf, dies=True)
+
+
 @query
 def clean_quotes(spark, sf):
     """All cleaning rules of the quote table on raw snapshots."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,8 +29,17 @@ def get_spark(app: str = "quotelift", master: str | None = None, **conf: str) ->
 
 
 def _scratch_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, else the warehouse: folders that all executors share."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """``spark.checkpoint.dir``, else the warehouse: folders that all executors share.
+
+    A warehouse on the driver's own disk is taken only by a local session.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    root = spark.conf.get("spark.sql.warehouse.dir")
+    if root.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -51,6 +61,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def nothing_there(error: AnalysisException) -> bool:
+    """Whether reading failed because nothing has been written yet, and for no other reason."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of the library's own, through the file system that Spark uses for it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(system.exists(target) and system.delete(target, True))
+
+
 def save_note(spark: SparkSession, value: dict, path: str) -> None:
     """A small dictionary as one JSON text; numbers come back exactly."""
     frame = spark.createDataFrame([(json.dumps(value),)], "value string")

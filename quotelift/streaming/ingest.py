@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from quotelift.session import nothing_there
 from quotelift.sources.files import CSV_OPTIONS, FILE_PATTERN, matches, strip_quotes, tag_source
 
 
@@ -49,7 +50,9 @@ def drop_late_files(df: DataFrame, cutoff: date | None) -> DataFrame:
 def _next_run(spark: SparkSession, target: str) -> int:
     try:
         last = spark.read.parquet(target).agg(F.max("run_id")).first()[0]
-    except AnalysisException:  # nothing has been loaded yet
+    except AnalysisException as error:
+        if not nothing_there(error):
+            raise
         return 0
     return 0 if last is None else last + 1
 
