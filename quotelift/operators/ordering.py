@@ -10,6 +10,7 @@ per (group, chunk), and the number of offsets is at most chunks + groups.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from pyspark.sql.window import Window as W
 
 from quotelift.session import materialize
 
+#: Size of a quantile sketch, and twice the share of a group by which its ranks may be off.
+SKETCH_SIZE, SKETCH_ERROR = 2048, 0.005
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
@@ -119,14 +122,10 @@ def running_totals(
     return joined.select(*df.columns, *out_cols)
 
 
-def exact_quantiles(
+def sorted_quantiles(
     df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per group.
-
-    Values are counted first, so repeated values cost one row each; no group is ever
-    gathered in one task. ``probs`` maps output names to probabilities. NULLs are ignored.
-    """
+    """As :func:`exact_quantiles`, from a sort of all different values. NaN counts as largest."""
     counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).cast("double").alias("_value"))
@@ -156,6 +155,72 @@ def exact_quantiles(
     )
 
 
+def exact_quantiles(
+    df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Exact quantiles with linear interpolation, one row per group, without a global sort.
+
+    A first scan sketches each group (KLL, merged from all tasks) and so brackets every
+    quantile between two values; a second counts what lies below the bracket and the values
+    inside, about one row in a hundred, where the quantile is selected exactly. Whether the
+    bracket held is checked: groups where it did not, and those with NaN, are sorted.
+
+    ``probs`` maps output names to probabilities. NULLs are ignored. ``df`` is scanned twice.
+    """
+    keys = list(by) or ["_all"]
+    rows = df.withColumn("_all", F.lit(0)) if not by else df
+    rows = rows.select(*keys, F.col(value).cast("double").alias("_value")).filter(F.col("_value").isNotNull())
+    sketched = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_value").alias("_least"),
+        F.max("_value").alias("_most"),
+        F.kll_sketch_agg_double("_value", F.lit(SKETCH_SIZE)).alias("_sketch"),
+    )
+
+    def edge(rank: float) -> Column:
+        if rank <= 0:
+            return F.col("_least")
+        return F.col("_most") if rank >= 1 else F.kll_sketch_get_quantile_double("_sketch", F.lit(rank))
+
+    marks = [
+        F.struct(F.lit(i).alias("p"), edge(p - SKETCH_ERROR).alias("lo"), edge(p + SKETCH_ERROR).alias("hi"))
+        for i, p in enumerate(probs.values())
+    ]
+    groups = materialize(sketched.select(*keys, "_n", F.isnan("_most").alias("_nan"), F.array(*marks).alias("_marks")), "brackets")
+    placed = join_null_safe(rows, groups.filter(~F.col("_nan")), keys, "inner")
+    v = F.col("_value")
+    # below a bracket only the number matters; what lies above it does not count
+    seen = F.transform(
+        "_marks", lambda m: F.when(v <= m["hi"], F.struct(m["p"].alias("p"), F.when(v >= m["lo"], v).alias("v")))
+    )
+    seen = placed.select(*keys, "_n", F.explode(F.filter(seen, lambda x: x.isNotNull())).alias("_x"))
+    counted = seen.groupBy(*keys, "_n", F.col("_x.p").alias("_p"), F.col("_x.v").alias("_v")).agg(F.count(F.lit(1)).alias("_count"))
+    upward = W.partitionBy(*keys, "_p").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    walked = counted.withColumn("_cum", F.sum("_count").over(upward))
+    last = F.col("_n") - 1
+    at = {name: last * F.lit(float(p)) for name, p in probs.items()}
+
+    def held(i: int, index: Column) -> Column:
+        mine = (F.col("_p") == i) & (index < F.col("_cum")) & (index >= F.col("_cum") - F.col("_count"))
+        return F.max(F.when(mine, F.col("_v")))
+
+    pieces = walked.groupBy(*keys).agg(
+        *[held(i, F.floor(pos)).alias(f"_lo_{n}") for i, (n, pos) in enumerate(at.items())],
+        *[held(i, F.ceil(pos)).alias(f"_hi_{n}") for i, (n, pos) in enumerate(at.items())],
+        *[F.max(pos - F.floor(pos)).alias(f"_w_{n}") for n, pos in at.items()],
+    )
+    found = pieces.select(
+        *keys, *[(F.col(f"_lo_{n}") + F.col(f"_w_{n}") * (F.col(f"_hi_{n}") - F.col(f"_lo_{n}"))).alias(n) for n in probs]
+    )
+    found = materialize(join_null_safe(groups.select(*keys), found, keys, "left"), "quantiles")
+    missed = reduce(lambda x, y: x | y, [F.col(n).isNull() for n in probs])
+    open_ = found.filter(missed).select(*keys)
+    if not open_.isEmpty():
+        again = sorted_quantiles(join_null_safe(rows, open_, keys, "left_semi"), "_value", probs, keys)
+        found = found.filter(~missed).unionByName(again)
+    return found.select(*by, *probs)
+
+
 def global_rank(df: DataFrame, score: str, tie: str, out: str = "rank") -> DataFrame:
     """Rank 1..N by descending score, ties broken by ``tie``; NULL scores come last."""
     return add_position(df, [F.col(score).desc_nulls_last(), F.col(tie).asc()], out)

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelift.operators import cluster as clustering
-from quotelift.operators import evaluation, temporal, training
+from quotelift.operators import evaluation, selection, temporal, training
 from quotelift.operators.columns import (
+    apply_types,
     blanks_to_null,
     cast_double,
     infer_numeric_types,
@@ -146,6 +147,17 @@ def incremental_clean(
     return age_latest(latest, ts, status, stale_days)
 
 
+def typed_bronze(bronze: DataFrame, codes: Sequence[str] = (), types: Mapping[str, str] | None = None) -> DataFrame:
+    """Bronze text with numeric columns as numbers, before any rule.
+
+    ``types`` are those the table was pinned to on its first load; without them they are inferred
+    from these rows (``infer_numeric_types``). Columns in ``codes`` stay text. Rules take numbers
+    and text alike; a blank in a numeric column becomes NULL.
+    """
+    kinds = infer_numeric_types(bronze, codes) if types is None else types
+    return apply_types(bronze, {c: t for c, t in kinds.items() if c not in set(codes)})
+
+
 def clean_quotes(
     bronze: DataFrame,
     house: str = "",
@@ -153,7 +165,11 @@ def clean_quotes(
     tie: str | None = None,
     toggles: Toggles | None = None,
     count_rows: bool = False,
+    infer: bool = False,
+    codes: Sequence[str] = (),
 ) -> tuple[DataFrame, list[LogEntry]]:
+    """All quote rules as one plan; with ``infer`` text is typed first (see ``typed_bronze``)."""
+    bronze = typed_bronze(bronze, codes) if infer else bronze
     table = "cotacao_generico"
     # columns dropped right after the temporal rule do not go through its shuffle
     drops_on = (toggles or {}).get(table, {}).get("GEN_R08", True)
@@ -282,12 +298,57 @@ def with_cluster(
     return TrainingData(attach(data.model), attach(data.valid), features, data.log)
 
 
+@dataclass
+class Selected:
+    """Features for a training run, best first, and how they were ranked."""
+
+    categorical: list[str]
+    numeric: list[str]
+    ranked: DataFrame  # feature, score_final, rank_final
+    quality: DataFrame  # method, seed, ap, auc_pr
+
+
+def select_features(
+    data: TrainingData,
+    key: str,
+    segment: str | None = None,
+    top: int | None = None,
+    pinned: Sequence[str] = (),
+    explicit: Sequence[str] | None = None,
+    methods: Mapping[str, Mapping] | None = None,
+    seeds: Sequence[int] = tuple(fv.SELECTION_SEEDS),
+) -> Selected:
+    """The features of a run: an explicit list, or the best ``top`` and the pinned ones.
+
+    Ranks come from the weighted ensemble of all methods and seeds on the model rows. Pinned
+    features keep their place in the ranking and come in even beyond ``top``; a name that the
+    training data does not have is an error.
+    """
+    cats, nums = list(data.features.categorical), list(data.features.numeric)
+    known = [*cats, *nums]
+    strange = [c for c in [*pinned, *(explicit or [])] if c not in known]
+    if strange:
+        raise ValueError(f"no such features: {strange}")
+    if explicit is not None and not explicit:
+        raise ValueError("the list of features is empty")
+    rows = cast_double(blanks_to_null(in_segment(data.model, segment)), nums)
+    rows = materialize(rows.select(key, "label", *known), "candidates")
+    importances, quality = selection.fs_methods(rows, key, "label", cats, nums, methods, seeds)
+    scores = selection.rank_score(importances, known, ["method", "seed"])
+    ranked = materialize(selection.ensemble_rank(scores, quality), "ranked-features")
+    order = selection.feature_sets(ranked, [len(known)])[f"top_{len(known)}"]
+    wanted = explicit if explicit is not None else [*order[: len(known) if top is None else top], *pinned]
+    chosen = [c for c in order if c in set(wanted)]
+    return Selected([c for c in chosen if c in cats], [c for c in chosen if c in nums], ranked, quality)
+
+
 @dataclass
 class Trained:
     models: training.ScoringSet
     train_quality: DataFrame
     cv: DataFrame
     evaluation: DataFrame
+    selected: Selected | None = None
 
 
 def train(
@@ -302,8 +363,19 @@ def train(
     weights: str | bool = "auto",
     criterion: str = "max_f1",
     precision_target: float = 0.4,
+    select: Mapping[str, object] | None = None,
 ) -> Trained:
-    """Cross validation, final fits of every grid point, thresholds on validation rows."""
+    """Cross validation, final fits of every grid point, thresholds on validation rows.
+
+    ``select`` holds options of :func:`select_features`, which then choose the features on the
+    model rows; without it the lists given, or else all features, are used.
+    """
+    selected = None
+    if select is not None:
+        if categorical is not None or numeric is not None:
+            raise ValueError("features are either selected or given")
+        selected = select_features(data, key, segment, **select)
+        categorical, numeric = selected.categorical, selected.numeric
     cats = list(data.features.categorical if categorical is None else categorical)
     nums = list(data.features.numeric if numeric is None else numeric)
     rows = cast_double(blanks_to_null(in_segment(data.model, segment)), nums)
@@ -321,7 +393,7 @@ def train(
     summary = evaluation.eval_summary(
         long, "label", "score", ["model_id"], criterion, precision_target
     )
-    return Trained(models, quality, cv, summary)
+    return Trained(models, quality, cv, summary, selected)
 
 
 def score(

@@ -75,6 +75,43 @@ def test_train_score_compare(segmented, data):
         assert out[name].count() > 0
 
 
+def test_typed_before_the_rules(spark, segmented):
+    """Numbers kept as text are typed first; the rules then give the same table."""
+    bronze = view(spark, "/root/testdata/sf0.01", "v_bronze")
+    text = bronze.select(*[F.col(c).cast("string").alias(c) if c == "VL_PREMIO_ALVO" else c for c in bronze.columns])
+    typed = flows.typed_bronze(text, codes=[KEY])
+    kinds = dict(typed.dtypes)
+    assert kinds[KEY] == "string" and set(kinds.values()) & {"bigint", "double"}
+    pinned = flows.typed_bronze(text, codes=[KEY], types={"VL_PREMIO_ALVO": "bigint", KEY: "bigint"})
+    assert dict(pinned.dtypes)["VL_PREMIO_ALVO"] == "bigint" and dict(pinned.dtypes)[KEY] == "string"
+    columns = [KEY, "SEQ", "CANAL", "DS_TIPO_COTACAO", "DS_GRUPO_STATUS", "label", "MES", "DIAS_COTACAO", "VL_PREMIO_ALVO"]
+    plain, _ = flows.clean_quotes(bronze, tie="SEQ")
+    first, _ = flows.clean_quotes(bronze, tie="SEQ", infer=True, codes=[KEY])
+    as_text = lambda df: df.select([F.col(c).cast("string").alias(c) for c in columns])
+    assert as_text(plain).exceptAll(as_text(first)).count() == 0 and plain.count() == first.count()
+
+
+def test_features_are_selected_inside_a_run(data):
+    light = {"methods": {"rf": {"numTrees": 3, "maxDepth": 3}, "lr_l1": {"maxIter": 5}}, "seeds": [1]}
+    every = set(data.features.categorical + data.features.numeric)
+    best = flows.select_features(data, KEY, top=2, pinned=["DS_PRODUTO_NOME"], **light)
+    order = [r["feature"] for r in best.ranked.orderBy("rank_final").collect()]
+    assert set(order) == every
+    assert set(best.categorical + best.numeric) == {*order[:2], "DS_PRODUTO_NOME"}
+    assert best.quality.count() == 2
+    given = flows.select_features(data, KEY, explicit=["DIAS_COTACAO"], **light)
+    assert (given.categorical, given.numeric) == ([], ["DIAS_COTACAO"])
+    for wrong in ({"pinned": ["NOPE"]}, {"explicit": []}, {"explicit": ["NOPE"]}):
+        with pytest.raises(ValueError):
+            flows.select_features(data, KEY, **wrong, **light)
+    combos = training.grid([2], [0.1])
+    result = flows.train(data, KEY, combos=combos, cv_iterations=2, final_iterations=2, select={"top": 1, **light})
+    assert result.models.categorical + result.models.numeric == order[:1]
+    assert result.selected.ranked.count() == len(every)
+    with pytest.raises(ValueError, match="either selected or given"):
+        flows.train(data, KEY, numeric=["DIAS_COTACAO"], select={"top": 1})
+
+
 def test_empty_segment_is_an_error(data):
     models = training.ScoringSet([], [], {}, {})
     with pytest.raises(ValueError, match="no rows"):

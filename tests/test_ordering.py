@@ -92,3 +92,30 @@ def test_one_row_and_no_rows(spark):
 def test_clashing_column_names(spark):
     df = spark.createDataFrame([(1, 0.5, 3)], "id int, s double, _n int")
     assert ordering.global_rank(df, "s", "id").columns == ["id", "s", "_n", "rank"]
+
+
+def test_bracketed_quantiles_equal_sorted_ones(spark, monkeypatch):
+    """Skewed groups, ties, NULL groups, NaN, and brackets that do not hold."""
+    rng = np.random.default_rng(8)
+    rows = [("big", float(x)) for x in rng.lognormal(0, 2, 4000)] + [("ties", float(x)) for x in rng.integers(0, 3, 500)]
+    rows += [(None, float(x)) for x in range(7)] + [("one", 4.5), ("none", None), ("nan", float("nan")), ("nan", 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(3)
+    probs = {"lo": 0.0, "q1": 0.25, "mid": 0.5, "q99": 0.99, "hi": 1.0}
+    as_rows = lambda d: sorted(tuple(map(repr, r)) for r in d.select("g", *probs).collect())
+    want = as_rows(ordering.sorted_quantiles(df, "x", probs, ["g"]))
+    assert as_rows(ordering.exact_quantiles(df, "x", probs, ["g"])) == want
+    big = np.array([x for g, x in rows if g == "big"])
+    got = {r["g"]: r for r in ordering.exact_quantiles(df, "x", probs, ["g"]).collect()}
+    assert [got["big"][n] for n in probs] == pytest.approx(np.quantile(big, list(probs.values())))
+    monkeypatch.setattr(ordering, "SKETCH_ERROR", 0.0)
+    monkeypatch.setattr(ordering, "SKETCH_SIZE", 8)
+    assert as_rows(ordering.exact_quantiles(df, "x", probs, ["g"])) == want
+
+
+def test_quantiles_have_no_global_sort_and_no_shuffle_of_all_values(spark, monkeypatch):
+    plans = []
+    plain = ordering.materialize
+    monkeypatch.setattr(ordering, "materialize", lambda d, n: plans.append(d._jdf.queryExecution().executedPlan().toString()) or plain(d, n))
+    df = spark.range(20_000).select((F.col("id") % 4999).cast("double").alias("x"))
+    assert ordering.exact_quantiles(df, "x", {"mid": 0.5}).first()["mid"] == np.median(np.arange(20_000) % 4999)
+    assert len(plans) == 2 and not any("rangepartitioning" in p for p in plans)
