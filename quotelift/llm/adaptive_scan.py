@@ -9,7 +9,8 @@ nearest to it.
 
 Centroids, bounds to start from and the number of lists to look into come from a bounded
 sample (``SAMPLE``); every row is in a list. Lists are cut into blocks of rows and their
-queries into blocks as well, so a list that holds a third of all rows becomes many tasks. Each
+queries into blocks as well, so a list that holds a third of all rows becomes many tasks. The
+nearest lists of a query are scanned first, and its k-th best there is the bound for the others. Each
 block gives back at most ``k`` rows per query, with scores from the original vectors. Queries
 that end with fewer than ``k`` rows are scanned once more, without giving anything up.
 """
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelift.llm.common import materialize
-from quotelift.llm.vectors import bounded_sample, dimension, matrix, usable
+from quotelift.llm.vectors import bounded_sample, matrix, usable
 
 K = 20
 SAMPLE = 10_000
@@ -36,6 +38,8 @@ ONE_LIST = 4096
 MAX_LISTS = 4096
 BLOCK_ROWS, BLOCK_QUERIES = 2048, 256
 COLUMNS = 16
+#: Share of a query's lists that are scanned first, and pairs that are measured at once.
+FIRST_LISTS, PAIRS = 0.2, 1 << 16
 #: Standard deviations of the test that gives a candidate up.
 CONFIDENCE = 3.0
 #: Rounding of a squared distance, as a share of the squared norms it is made from.
@@ -109,39 +113,38 @@ def _tile(index: Index, k: int):
         lifted, asked = index.lift(x), index.lift_queries(q)
         width = lifted.shape[1]
         norms = (q * q).sum(axis=1)
-        found = []
-        for i in range(len(q)):
-            # the product bound as a squared distance; for copies of the longest vector it is 0
-            far = max(0.0, norms[i] + index.top - 2 * bounds[i]) if np.isfinite(bounds[i]) else np.inf
-            margin = ROUNDING * (norms[i] + index.top)
-            alive = np.flatnonzero(ids != qids[i])
-            sums = np.zeros(len(alive))
-            for start in range(0, width, COLUMNS):
-                stop = min(width, start + COLUMNS)
-                step = lifted[alive, start:stop] - asked[i, start:stop]
-                sums += (step * step).sum(axis=1)
-                if stop < width and np.isfinite(far):
-                    keep = sums * (width / stop) <= far * (1 + CONFIDENCE / stop**0.5) ** 2 + margin
-                    alive, sums = alive[keep], sums[keep]
-                if not len(alive):
-                    break
-            if not len(alive):
-                continue
-            # what is left is measured with the original vectors
-            score = x[alive] @ q[i]
-            if len(score) > k:
-                # ties at the cut stay in; they are ranked by id at the end
-                cut = np.partition(score, len(score) - k)[len(score) - k]
-                alive, score = alive[score >= cut], score[score >= cut]
-            order = np.lexsort((ids[alive], -score))[:k]
-            found.append(
-                pd.DataFrame({"query_id": qids[i], "vec_id": ids[alive[order]], "score": score[order]})
-            )
-        if not found:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
-                {"query_id": "int64", "vec_id": "int64", "score": "float64"}
-            )
-        return pd.concat(found)
+        # the product bound as a squared distance; for copies of the longest vector it is 0
+        far = np.where(np.isfinite(bounds), np.maximum(0.0, norms + index.top - 2 * bounds), np.inf)
+        margin = ROUNDING * (norms + index.top)
+
+        def limit(stop: int) -> np.ndarray:
+            """What the first ``stop`` columns of a pair may add up to, by query."""
+            return (far * (1 + CONFIDENCE / stop**0.5) ** 2 + margin) * (stop / width)
+
+        # the first columns of all pairs at once, the others of the pairs that are left
+        stop = min(width, COLUMNS)
+        sums = _distances(asked[:, :stop], lifted[:, :stop])
+        at, row = np.nonzero((sums <= limit(stop)[:, None] + margin[:, None]) & (qids[:, None] != ids))
+        sums = sums[at, row]
+        for start in range(stop, width, COLUMNS):
+            if not len(at):
+                break
+            stop = min(width, start + COLUMNS)
+            step = lifted[row, start:stop] - asked[at, start:stop]
+            sums = sums + (step * step).sum(axis=1)
+            if stop < width:
+                keep = sums <= limit(stop)[at] + margin[at]
+                at, row, sums = at[keep], row[keep], sums[keep]
+        # what is left is measured with the original vectors, each pair by itself, so that the score
+        # of a pair does not depend on the block it is in
+        score = np.concatenate(
+            [(x[row[i : i + PAIRS]] * q[at[i : i + PAIRS]]).sum(axis=1) for i in range(0, len(at), PAIRS)] or [np.empty(0)]
+        )
+        # ties at the cut go to the smaller id
+        order = np.lexsort((ids[row], -score, at))
+        first = np.searchsorted(at[order], at[order])
+        order = order[np.arange(len(order)) - first < k]
+        return pd.DataFrame({"query_id": qids[at[order]], "vec_id": ids[row[order]], "score": score[order]})
 
     return run
 
@@ -151,12 +154,26 @@ def search(df: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
     ``queries`` has the columns of ``df`` that are read, vec_id and embedding; a row is no
     candidate for a query with its own id. Equal scores go to the smaller id. Vectors that are
-    NULL, zero, hold NULL or non-finite components, or have another length than most, and rows
-    with a NULL id take no part. Repeated rows count once. With at most ``ONE_LIST`` rows all
-    are looked at; an empty table gives an empty result.
+    NULL, zero or hold NULL or non-finite components, and rows with a NULL id, take no part.
+    Vectors of one length are a table of their own, since those of different lengths have no
+    product. Repeated rows count once; an id with several vectors counts with its best. With
+    at most ``ONE_LIST`` rows all are looked at; an empty table gives an empty result.
     """
+    use = usable(F.col("embedding")) & F.col("vec_id").isNotNull()
+    # one row for each length that occurs
+    lengths = [r["d"] for r in df.filter(use).select(F.size("embedding").alias("d")).distinct().collect()]
+    if not lengths:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = [_near_of_length(df, queries, dims, k) for dims in sorted(lengths)]
+    near = reduce(DataFrame.unionByName, found).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _near_of_length(df: DataFrame, queries: DataFrame, dims: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score): what the scan finds among vectors of one length."""
     spark = df.sparkSession
-    dims = dimension(df)
 
     def clean(rows: DataFrame) -> DataFrame:
         use = usable(F.col("embedding")) & (F.size("embedding") == dims) & F.col("vec_id").isNotNull()
@@ -166,8 +183,6 @@ def search(df: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     asked = clean(queries)
     norm = F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
     stats = base.agg(F.count("*"), F.max(norm)).first()
-    if not stats[0]:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = fit(bounded_sample(base, SAMPLE, dims), float(stats[1]), stats[0], k)
     shared = spark.sparkContext.broadcast(index)
 
@@ -240,14 +255,21 @@ def search(df: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         tile = lambda left, right: _tile(shared.value, k)(left, right)
         return rows.groupBy(*key).cogroup(seeks.groupBy(*key)).applyInPandas(tile, "query_id long, vec_id long, score double")
 
-    near = materialize(scan(looks), "near")
+    # the nearest lists first; their k-th best is the bound for the others
+    early = F.greatest(F.lit(1), F.ceil(F.size("lists") * F.lit(FIRST_LISTS))).cast("int")
+    begun = materialize(scan(looks.withColumn("lists", F.slice("lists", 1, early))), "near-first")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    reached = begun.withColumn("r", place).filter(F.col("r") == k).select("query_id", F.col("score").alias("reached"))
+    rest = F.slice("lists", early + 1, F.greatest(F.size("lists") - early, F.lit(0)))
+    later = looks.join(reached, "query_id", "left").select(
+        "query_id", "embedding", F.greatest("bound", F.coalesce("reached", "bound")).alias("bound"), rest.alias("lists")
+    )
+    later = materialize(later.filter(F.size("lists") > 0), "probes-later")
+    near = begun.unionByName(materialize(scan(later), "near-later"))
     full = near.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n")).filter(F.col("n") >= k)
     # a query with an open bound has seen all candidates of its lists
     short = looks.filter(F.col("bound") > float("-inf")).join(full, "query_id", "left_anti")
     short = materialize(short.withColumn("bound", F.lit(float("-inf"))), "short-probes")
     if not short.isEmpty():
         near = near.unionByName(scan(short))
-    near = near.dropDuplicates(["query_id", "vec_id"])
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return near

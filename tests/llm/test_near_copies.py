@@ -255,3 +255,25 @@ def test_signatures_take_no_more_memory_for_many_short_texts(monkeypatch):
     assert peak < 150e6
     monkeypatch.setattr(dart_minhash, "BATCH", 1000)
     assert (dart_minhash.signatures(texts[:20]) == whole[:20]).all()
+
+
+def test_scores_do_not_depend_on_the_block_and_ties_go_to_the_smaller_id(spark, monkeypatch):
+    """Copies lie in several blocks and lists; their scores are equal to the last bit."""
+    monkeypatch.setattr(adaptive_scan, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(adaptive_scan, "ONE_LIST", 10)
+    rng = np.random.default_rng(12)
+    one = rng.normal(size=64).astype(np.float32)
+    rows = [(i, one.tolist()) for i in range(1, 60)] + [(0, (one * 0.5).tolist())]
+    rows += [(100 + i, (rng.normal(size=64) * 0.1).astype(np.float32).tolist()) for i in range(200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    got = adaptive_scan.search(frame, frame.filter("vec_id = 0")).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == list(range(1, 21))
+    want = float((one.astype(float) * (one * np.float32(0.5)).astype(float)).sum())
+    assert {r["score"] for r in got} == {want}
+
+
+def test_lengths_are_tables_of_their_own_and_ids_count_with_their_best(spark):
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0, 0.0]), (4, [0.0, 3.0, 0.0]), (5, [5.0, 5.0, 5.0]), (2, [3.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in adaptive_scan.search(frame, frame.filter("vec_id in (1, 4)")).orderBy("query_id", "rank").collect()]
+    assert got == [(1, 1, 2, 3.0), (4, 1, 5, 15.0), (4, 2, 3, 0.0)]
