@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import partial
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -28,6 +30,8 @@ from quotelift.operators.together import IN_FLIGHT, run_together
 from quotelift.plans import fixed_values as fv
 from quotelift.session import materialize, scratch_path, spread
 
+CONSTANT = 1e-12  # relative variation under which values count as constant
+
 # Settings of the three importance methods.
 METHODS = {
     "lr_l1": {"maxIter": 100, "regParam": 0.01, "elasticNetParam": 1.0},
@@ -254,23 +258,65 @@ def mutual_information(
     return per_feature.select("feature", F.greatest(mi, F.lit(0.0)).alias("mi"))
 
 
+def _pair_sums(cols: Sequence[str], mean: np.ndarray, width: np.ndarray):
+    """Sums over all pairs of columns in a task, each over rows where both are filled.
+
+    Values are centred and scaled first, so that no digits are lost in the sums. The sums of a task
+    are a few matrices of (columns x columns), whatever its rows.
+    """
+    d = len(cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((5, d, d))
+        for batch in batches:
+            filled = np.column_stack([~np.asarray(c.is_null()) for c in batch.columns]).astype(float)
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            odd = np.isnan(x) & (filled > 0)
+            x = np.where((filled > 0) & ~odd, (x - mean) / width, 0.0)
+            total += filled.T @ filled, x.T @ filled, (x * x).T @ filled, x.T @ x, odd.T.astype(float) @ filled
+        i, j = np.triu_indices(d)
+        n, x, xx, xy, odd = total
+        values = [n[i, j], x[i, j], x[j, i], xx[i, j], xx[j, i], xy[i, j], odd[i, j] + odd[j, i]]
+        names = ["i", "j", "n", "x", "y", "xx", "yy", "xy", "odd"]
+        ends = [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays([*ends, *map(pa.array, values)], names=names)
+
+    return run
+
+
 def pearson_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair, each over rows where both are filled."""
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    one = df.agg(
-        *[
-            F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"c{i}_{j}")
-            for i, j in pairs
-        ]
+    """Pearson correlation of every ordered pair, each over rows where both are filled.
+
+    One aggregate centres the columns, one scan adds up the matrix of all pairs, so hundreds of
+    columns are as few jobs as three. Pairs without variation have no row; NaN in a column gives NaN.
+    """
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    plain = [F.when(~F.isnan(c), F.col(c)) for c in cols]
+    one = rows.agg(
+        *[F.avg(x).alias(f"m{i}") for i, x in enumerate(plain)],
+        *[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(plain)],
+    ).first()
+    # a column without values, or with a single one, has no correlation
+    kept = [i for i in range(len(cols)) if one[f"s{i}"] is not None and one[f"s{i}"] > CONSTANT * abs(one[f"m{i}"])]
+    spark = df.sparkSession
+    if not kept:
+        return spark.createDataFrame([], "feature_a string, feature_b string, correlation double")
+    names = [cols[i] for i in kept]
+    mean, width = (np.array([one[f"{v}{i}"] for i in kept]) for v in "ms")
+    sums = ["n", "x", "y", "xx", "yy", "xy", "odd"]
+    schema = "i int, j int, " + ", ".join(f"{c} double" for c in sums)
+    found = rows.select(names).mapInArrow(_pair_sums(names, mean, width), schema)
+    found = found.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums])
+    n, x, y = F.col("n"), F.col("x"), F.col("y")
+    vary_x, vary_y = F.col("xx") - x * x / n, F.col("yy") - y * y / n
+    value = (F.col("xy") - x * y / n) / F.sqrt(vary_x * vary_y)
+    # within the rows of a pair a column may be constant, but for rounding
+    varies = (n > 1) & (F.least(vary_x, vary_y) > CONSTANT * n)
+    value = F.when(F.col("odd") > 0, F.lit(float("nan"))).when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value)))
+    half = found.filter(n > 0).select("i", "j", value.alias("correlation")).filter(F.col("correlation").isNotNull())
+    named = F.array(*[F.lit(c) for c in names])
+    both = half.unionByName(half.filter("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "correlation"))
+    return both.select(
+        F.get(named, F.col("i")).alias("feature_a"), F.get(named, F.col("j")).alias("feature_b"), "correlation"
     )
-    entries = [
-        F.struct(
-            F.lit(cols[i]).alias("feature_a"),
-            F.lit(cols[j]).alias("feature_b"),
-            F.col(f"c{min(i, j)}_{max(i, j)}").alias("correlation"),
-        )
-        for i in range(len(cols))
-        for j in range(len(cols))
-    ]
-    long = one.select(F.inline(F.array(*entries)))
-    return long.filter(F.col("correlation").isNotNull())
+

@@ -220,6 +220,21 @@ def test_pearson_is_pairwise(spark):
     assert got[("c", "a")] == pytest.approx(np.corrcoef([2, 3, 4], [1, 0, 5])[0, 1])
 
 
+def test_pearson_of_many_columns_with_gaps(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(1e6, 1.0, (400, 60)) @ np.diag(rng.uniform(0.1, 50, 60))
+    x[:, 1] = 3 * x[:, 0] + rng.normal(0, 1, 400)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    names = [f"c{i}" for i in range(60)]
+    rows = [[None if np.isnan(v) else float(v) for v in r] + [7.0, None] for r in x]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in [*names, "same", "none"])).repartition(3)
+    got = {(r[0], r[1]): r[2] for r in selection.pearson_long(df, [*names, "same", "none"]).collect()}
+    assert len(got) == 3600 and not any({"same", "none"} & set(k) for k in got)
+    for i, j in [(0, 1), (5, 9), (59, 3), (7, 7)]:
+        both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        assert got[f"c{i}", f"c{j}"] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+
+
 def test_label_audit(spark):
     df = spark.createDataFrame([(1.0,), (0.0,), (2.0,), (None,)], "label double")
     assert tuple(selection.label_audit(df, "label").first()) == (4, 2)
