@@ -96,6 +96,49 @@ oracle(
        FROM v_snapshots GROUP BY ALL""",
 )
 
+oracle("replay_files", "v_snapshots", f"SELECT DISTINCT {FILE_NAME} AS source_file, day AS file_date FROM v_snapshots")
+oracle(
+    "late_files",
+    "v_snapshots",
+    """SELECT day AS file_date, count(*) AS n_rows FROM v_snapshots
+       WHERE date_diff('day', DATE '1970-01-01', day) >=
+             (SELECT CAST(floor(avg(date_diff('day', DATE '1970-01-01', day))) AS BIGINT) FROM v_snapshots)
+       GROUP BY day""",
+)
+oracle(
+    "rows_after_position",
+    "v_snapshots",
+    """SELECT day(day) AS batch_id, count(*) AS n_rows FROM v_snapshots WHERE day(day) > 10 GROUP BY day(day)""",
+)
+oracle(
+    "table_sinks",
+    "",
+    """SELECT count(*) AS n_rows, count(DISTINCT s_nationkey) AS n_nations, true AS refused, true AS copied,
+              false AS copied_again, true AS refreshed FROM supplier""",
+)
+oracle(
+    "clean_summary",
+    "v_summary",
+    """SELECT CD_CORRETOR, CAST(VL_GWP_CORRETOR AS DOUBLE) AS VL_GWP_CORRETOR, QTD_ACORDO_COMERCIAL FROM v_summary""",
+)
+oracle(
+    "clean_detail",
+    "v_detail",
+    f"""SELECT CD_DOC_CORRETOR, DS_PRODUTO_NOME, QTD_COTACAO_2025, CAST(HR_2025 AS DOUBLE) AS HR_2025,
+               CASE WHEN trim(DS_TIPO_SOLICITACAO) = '' THEN '{fv.NEW_QUOTE}' ELSE DS_TIPO_SOLICITACAO END
+                   AS DS_TIPO_SOLICITACAO
+        FROM v_detail""",
+)
+oracle("segment_rows", "v_quotes", "SELECT quote_id FROM v_quotes WHERE quote_type = 'Renovacao'")
+oracle(
+    "empty_features",
+    "v_features",
+    """SELECT feature FROM (
+         SELECT unnest(['rare', 'premium', 'age', 'days']) AS feature,
+                unnest([count(rare), count(premium), count(age), count(days)]) AS n
+         FROM v_features WHERE rare IS NULL) WHERE n = 0""",
+)
+
 # --- cleaning expressions ---------------------------------------------------------------
 
 oracle(

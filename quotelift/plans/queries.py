@@ -24,7 +24,7 @@ from quotelift.plans.rules import Rule, apply_rules, consume, counted, log_frame
 from quotelift.session import materialize, scratch_path
 from quotelift.sources import files, tables
 from quotelift.sources.standins import base_table, view
-from quotelift.streaming.ingest import read_deliveries, start_ingest
+from quotelift.streaming.ingest import drop_late_files, read_deliveries, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -138,6 +138,53 @@ def new_row_flag(spark, sf):
     )
 
 
+@query
+def replay_files(spark, sf):
+    """Replay takes every file of the listing, loaded or not."""
+    return files.incremental_candidates(listing_and_loaded(spark, sf)[0])
+
+
+@query
+def late_files(spark, sf):
+    """A stream with a cutoff: rows of files dated before it are left out."""
+    log = file_log(spark, sf).withColumn("TS_ARQ", F.col("day").cast("timestamp"))
+    middle = log.agg(F.date_from_unix_date(F.avg(F.unix_date("day")).cast("int")).alias("d")).first()["d"]
+    kept = drop_late_files(log, middle)
+    return kept.groupBy(F.col("TS_ARQ").cast("date").alias("file_date")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def rows_after_position(spark, sf):
+    """What a step reads that has consumed the loads up to the tenth."""
+    loads = view(spark, sf, "v_snapshots").withColumn("batch_id", F.day("day").cast("bigint"))
+    return tables.rows_after(loads, 10).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def table_sinks(spark, sf):
+    """A versioned table is not overwritten; a dimension is copied once, and again if asked for."""
+    made, copy = f"made_{uuid.uuid4().hex}", f"copy_{uuid.uuid4().hex}"
+    suppliers = base_table(spark, sf, "supplier")
+    tables.write_new(suppliers, made, partition_by="s_nationkey")
+    try:
+        tables.write_new(suppliers.limit(1), made)
+        refused = False
+    except ValueError:
+        refused = True
+    done = [tables.copy_table(spark, made, copy, refresh) for refresh in (False, False, True)]
+    out = materialize(
+        spark.table(copy).agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_distinct("s_nationkey").alias("n_nations"),
+            *[F.lit(v).alias(n) for n, v in zip(("refused", "copied", "copied_again", "refreshed"), [refused, *done])],
+        ),
+        "sinks",
+    )
+    for name in (made, copy):
+        spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 @query
 def stream_ingest(spark, sf):
     folder = delivered(spark, sf)
@@ -487,6 +534,28 @@ def clean_quotes(spark, sf):
     )
 
 
+@query
+def clean_summary(spark, sf):
+    """All rules of the broker summary: money as decimal, technical and extra columns gone."""
+    out, _ = flows.clean_summary(view(spark, sf, "v_summary"))
+    return out.select(*[F.col(c).cast("double").alias(c) if c == "VL_GWP_CORRETOR" else c for c in out.columns])
+
+
+@query
+def clean_detail(spark, sf):
+    """All rules of the broker detail: request type default, rates as decimal."""
+    typed = view(spark, sf, "v_detail").withColumn("SOURCE_FILE", F.lit("x"))
+    out, _ = flows.clean_detail(typed.withColumn("HR_2025", F.col("HR_2025").cast("string")))
+    return out.select(*[F.col(c).cast("double").alias(c) if c == "HR_2025" else c for c in out.columns])
+
+
+@query
+def segment_rows(spark, sf):
+    """The rows of one segment."""
+    rows = view(spark, sf, "v_quotes").select("quote_id", F.col("quote_type").alias("SEG"))
+    return flows.in_segment(rows, "Renovacao").select("quote_id")
+
+
 # --- joins ------------------------------------------------------------------------------
 
 
@@ -939,6 +1008,14 @@ def cluster_profile(spark, sf):
 # --- feature selection ------------------------------------------------------------------------
 
 
+@query
+def empty_features(spark, sf):
+    """Numeric features without any value in the rows of a fit."""
+    df = view(spark, sf, "v_features").filter(F.col("rare").isNull())
+    empty = features.all_null_columns(df, ["rare", *NUMERIC])
+    return spark.createDataFrame([(c,) for c in empty], "feature string")
+
+
 @query
 def label_audit(spark, sf):
     df = catalog.label(catalog.canonical_status(view(spark, sf, "v_quotes"), "status"), "status")
