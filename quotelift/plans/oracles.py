@@ -1141,7 +1141,7 @@ oracle(
     "kmeans_sweep",
     "v_grouped_entities",
     f"""SELECT scaling, CAST(k AS INTEGER) AS k, CASE WHEN k = 3 THEN round(inertia, 6) END AS inertia,
-               k = 3 AS is_best, true AS falls
+               k = 3 AS is_best, true AS splits
         FROM ({" UNION ALL ".join(f"SELECT '{s}' AS scaling, inertia FROM ({_inertia(s)})" for s in _SCALED)}),
              range({fv.CLUSTER_COUNTS[0]}, {fv.CLUSTER_COUNTS[-1] + 1}) r(k)""",
 )

@@ -947,13 +947,15 @@ def kmeans_sweep(spark, sf):
     """All fits of the sweep on brokers in three groups: the exact inertia where K is 3."""
     out = cluster.kmeans_sweep(view(spark, sf, "v_grouped_entities"), ENTITY_COLS)
     best = W.partitionBy("scaling").orderBy(F.col("silhouette").desc())
-    fewer = F.lag("inertia").over(W.partitionBy("scaling").orderBy("k"))
+    # a restart may end in a local optimum, so that neighbours need not fall; the groups are far apart
+    at_three = F.max(F.when(F.col("k") == 3, F.col("inertia"))).over(W.partitionBy("scaling"))
+    split = F.when(F.col("k") < 3, F.col("inertia") > at_three).when(F.col("k") > 3, F.col("inertia") < at_three)
     out = out.select(
         "scaling",
         "k",
         F.when(F.col("k") == 3, F.col("inertia")).alias("inertia"),
         (F.row_number().over(best) == 1).alias("is_best"),
-        F.coalesce(F.col("inertia") <= fewer, F.lit(True)).alias("falls"),
+        F.coalesce(split, F.lit(True)).alias("splits"),
     )
     return rounded(out, "inertia")
 
