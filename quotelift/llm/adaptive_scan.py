@@ -4,8 +4,8 @@ Largest inner product is turned into smallest distance by one further coordinate
 all rows to one norm. Vectors are rotated at random, so that the first columns of a difference
 say how long it is: after each block of columns the distance so far, scaled up to all columns,
 is tested against the query's current bound, and candidates that would be too far with high
-confidence are given up. Candidates lie in lists around centroids; a query looks into the lists
-nearest to it.
+confidence are given up; after the last block the test is exact. Candidates lie in lists around
+centroids; a query looks into the lists nearest to it.
 
 Centroids, bounds to start from and the number of lists to look into come from a bounded
 sample (``SAMPLE``); every row is in a list. Lists are cut into blocks of rows and their
@@ -40,6 +40,8 @@ BLOCK_ROWS, BLOCK_QUERIES = 2048, 256
 COLUMNS = 16
 #: Share of a query's lists that are scanned first, and pairs that are measured at once.
 FIRST_LISTS, PAIRS = 0.2, 1 << 16
+#: Share of the pairs of a block above which the next columns are added up for all of them.
+DENSE = 1 / 16
 #: Standard deviations of the test that gives a candidate up.
 CONFIDENCE = 3.0
 #: Rounding of a squared distance, as a share of the squared norms it is made from.
@@ -118,13 +120,23 @@ def _tile(index: Index, k: int):
         margin = ROUNDING * (norms + index.top)
 
         def limit(stop: int) -> np.ndarray:
-            """What the first ``stop`` columns of a pair may add up to, by query."""
-            return (far * (1 + CONFIDENCE / stop**0.5) ** 2 + margin) * (stop / width)
+            """What the first ``stop`` columns of a pair may add up to, by query; all of them: the bound."""
+            spare = (1 + CONFIDENCE / stop**0.5) ** 2 if stop < width else 1.0
+            return (far * spare + margin) * (stop / width) + margin
 
-        # the first columns of all pairs at once, the others of the pairs that are left
+        # blocks of columns of all pairs at once while many are left, then of the pairs that are left
         stop = min(width, COLUMNS)
         sums = _distances(asked[:, :stop], lifted[:, :stop])
-        at, row = np.nonzero((sums <= limit(stop)[:, None] + margin[:, None]) & (qids[:, None] != ids))
+        left = (sums <= limit(stop)[:, None]) & (qids[:, None] != ids)
+        while stop < width and np.count_nonzero(left) > DENSE * left.size:
+            start, stop = stop, min(width, stop + COLUMNS)
+            sums += _distances(asked[:, start:stop], lifted[:, start:stop])
+            left &= sums <= limit(stop)[:, None]
+        if stop == width and len(ids) > k:
+            # no pair behind a query's k-th nearest of the block, but for rounding
+            nearest = np.partition(np.where(left, sums, np.inf), k - 1, axis=1)[:, k - 1]
+            left &= sums <= (nearest + 2 * margin)[:, None]
+        at, row = np.nonzero(left)
         sums = sums[at, row]
         for start in range(stop, width, COLUMNS):
             if not len(at):
@@ -132,9 +144,8 @@ def _tile(index: Index, k: int):
             stop = min(width, start + COLUMNS)
             step = lifted[row, start:stop] - asked[at, start:stop]
             sums = sums + (step * step).sum(axis=1)
-            if stop < width:
-                keep = sums <= limit(stop)[at] + margin[at]
-                at, row, sums = at[keep], row[keep], sums[keep]
+            keep = sums <= limit(stop)[at]
+            at, row, sums = at[keep], row[keep], sums[keep]
         # what is left is measured with the original vectors, each pair by itself, so that the score
         # of a pair does not depend on the block it is in
         score = np.concatenate(
@@ -182,7 +193,7 @@ def _near_of_length(df: DataFrame, queries: DataFrame, dims: int, k: int) -> Dat
     base = materialize(clean(df), "vectors")
     asked = clean(queries)
     norm = F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
-    stats = base.agg(F.count("*"), F.max(norm)).first()
+    stats = base.agg(F.count("*"), F.max(norm), F.count_distinct("vec_id")).first()
     index = fit(bounded_sample(base, SAMPLE, dims), float(stats[1]), stats[0], k)
     shared = spark.sparkContext.broadcast(index)
 
@@ -259,7 +270,9 @@ def _near_of_length(df: DataFrame, queries: DataFrame, dims: int, k: int) -> Dat
     early = F.greatest(F.lit(1), F.ceil(F.size("lists") * F.lit(FIRST_LISTS))).cast("int")
     begun = materialize(scan(looks.withColumn("lists", F.slice("lists", 1, early))), "near-first")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    reached = begun.withColumn("r", place).filter(F.col("r") == k).select("query_id", F.col("score").alias("reached"))
+    # the bound must be reached by k ids, not by fewer with several vectors
+    ids = begun if stats[2] == stats[0] else begun.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    reached = ids.withColumn("r", place).filter(F.col("r") == k).select("query_id", F.col("score").alias("reached"))
     rest = F.slice("lists", early + 1, F.greatest(F.size("lists") - early, F.lit(0)))
     later = looks.join(reached, "query_id", "left").select(
         "query_id", "embedding", F.greatest("bound", F.coalesce("reached", "bound")).alias("bound"), rest.alias("lists")

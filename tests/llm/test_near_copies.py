@@ -4,6 +4,7 @@ import collections
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from quotelift.llm import adaptive_scan, dart_minhash, itq
@@ -242,6 +243,44 @@ def test_queries_left_short_are_scanned_again(spark, points, monkeypatch):
     assert got == {q: 20 for q in range(0, len(points), 50)}
 
 
+@pytest.mark.parametrize("dense", [0.0, 1.0])
+def test_a_block_gives_back_only_what_reaches_the_bound(dense, monkeypatch):
+    """All pairs at once or only those left: the pairs given back are those that brute force finds."""
+    monkeypatch.setattr(adaptive_scan, "DENSE", dense)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 40)).astype(np.float32)
+    product = x[:50].astype(np.float64) @ x.astype(np.float64).T
+    np.fill_diagonal(product, -np.inf)
+    ranked = -np.sort(-product, axis=1)
+    # a bound that seven rows reach, and none at all
+    bound = np.where(np.arange(50) % 2 == 0, (ranked[:, 6] + ranked[:, 7]) / 2, -np.inf)
+    index = adaptive_scan.fit(x.astype(np.float64), float((x.astype(np.float64) ** 2).sum(axis=1).max()), len(x))
+    rows = pd.DataFrame({"vec_id": np.arange(600), "embedding": list(x)})
+    queries = pd.DataFrame({"query_id": np.arange(50), "embedding": list(x[:50]), "bound": bound})
+    got = adaptive_scan._tile(index, 20)(rows, queries).groupby("query_id")["vec_id"].agg(set)
+    for q in range(50):
+        best = np.argsort(-product[q])
+        if q % 2:
+            assert len(got[q] & set(best[:20])) >= 19 and len(got[q]) == 20
+        else:
+            assert got.get(q, set()) <= set(best[:7])
+    assert sum(len(got.get(q, ())) for q in range(0, 50, 2)) >= 0.95 * 7 * 25
+
+
+def test_the_bound_is_reached_by_ids_not_by_vectors(spark, monkeypatch):
+    """One id with many near vectors in the lists scanned first hides no other id."""
+    monkeypatch.setattr(adaptive_scan, "ONE_LIST", 100)
+    monkeypatch.setattr(adaptive_scan, "BOUND_ROWS", 1)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 8)).astype(np.float32)
+    more = [(1000, [float(v) for v in x[0] * (1.5 + 0.01 * i)]) for i in range(15)]
+    rows = vectors(spark, x, more)
+    got = [r["vec_id"] for r in adaptive_scan.search(rows, rows.filter("vec_id = 0")).orderBy("rank").collect()]
+    want = [i for i, _ in nearest(x, [0], 19)[0]]
+    assert got[0] == 1000 and len(got) == len(set(got)) == 20
+    assert len(set(got[1:]) & set(want)) >= 17
+
+
 def test_signatures_take_no_more_memory_for_many_short_texts(monkeypatch):
     """Batches are bounded by darts, and the parts of a long input give the same signature."""
     import tracemalloc
