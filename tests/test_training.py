@@ -1,9 +1,10 @@
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
-from quotelift.operators import features, selection, training
+from quotelift.operators import features, selection, together, training
 from quotelift.session import scratch_path
 
 
@@ -110,3 +111,29 @@ def test_column_without_values_does_not_stop_the_fits(spark):
     assert cv.count() == 1
     models, _ = training.train_final(rows, "label", ["c"], ["x", "empty"], None, one, iterations=2)
     assert models.numeric == ["x"] and training.score_models(rows, models, "id").count() == 60
+
+
+def test_fits_that_memory_does_not_hold_run_one_by_one(spark, rows, monkeypatch):
+    """Each fit caches its rows: how many run side by side follows from rows and memory."""
+    room = together.cache_room(spark)
+    assert room > 100 << 20
+    assert together.fits_in_memory(spark, 100_000, 35) > 1
+    assert together.fits_in_memory(spark, 10, 35, 3) == 3
+    assert together.fits_in_memory(spark, room // 400, 35) == 1 == together.fits_in_memory(spark, 10**10, 35)
+    lock, running, most = threading.Lock(), [], []
+    fit = training.GBTClassifier.fit
+
+    def counted(self, df):
+        with lock:
+            running.append(1)
+            most.append(len(running))
+        try:
+            return fit(self, df)
+        finally:
+            with lock:
+                running.pop()
+
+    monkeypatch.setattr(training.GBTClassifier, "fit", counted)
+    monkeypatch.setattr(together, "cache_room", lambda spark: 600 * 300)
+    training.train_final(rows, "label", ["kind"], ["x"], None, COMBOS, iterations=1)
+    assert len(most) == 2 and set(most) == {1}
