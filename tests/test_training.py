@@ -137,4 +137,6 @@ def test_fits_that_memory_does_not_hold_run_one_by_one(spark, rows, monkeypatch)
     monkeypatch.setattr(together, "cache_room", lambda spark: 600 * 300)
     found = training.cv_grid(rows, "id", "label", ["kind"], ["x"], COMBOS, iterations=1)
     training.train_final(rows, "label", ["kind"], ["x"], None, COMBOS, iterations=1)
-    assert found.count() == 2 and len(most) == 4 + 2 and set(most) == {1}
+    methods = {"gbt": {"maxIter": 1, "maxDepth": 2}, "rf": {"numTrees": 3, "maxDepth": 2}}
+    selection.fs_methods(rows, "id", "label", ["kind"], ["x"], methods, [1, 2])
+    assert found.count() == 2 and len(most) == 4 + 2 + 2 and set(most) == {1}
