@@ -134,7 +134,7 @@ def test_fits_that_memory_does_not_hold_run_one_by_one(spark, rows, monkeypatch)
                 running.pop()
 
     monkeypatch.setattr(training.GBTClassifier, "fit", counted)
-    monkeypatch.setattr(together, "cache_room", lambda spark: 600 * 300)
+    monkeypatch.setattr(together, "cache_room", lambda spark: 1)
     found = training.cv_grid(rows, "id", "label", ["kind"], ["x"], COMBOS, iterations=1)
     training.train_final(rows, "label", ["kind"], ["x"], None, COMBOS, iterations=1)
     methods = {"gbt": {"maxIter": 1, "maxDepth": 2}, "rf": {"numTrees": 3, "maxDepth": 2}}
