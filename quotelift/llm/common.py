@@ -31,6 +31,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_rows(df: DataFrame, rows: int, row_bytes: int = 64) -> DataFrame:
+    """``df`` as a side of a join that is broadcast only if its ``rows`` are small in memory.
+
+    Spark sizes a table by its files, where repeated ids take next to nothing, and an exploded one
+    by the table before it; such a side may be many times what the driver can hold.
+    """
+    most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return df.hint("merge") if rows * row_bytes > most else df
+
+
 def packed(df: DataFrame, name: str = "whole_row") -> Column:
     """The whole input row as one struct, so that no input column can clash with ours."""
     return F.struct(*[df[f"`{c}`"] for c in df.columns]).alias(name)

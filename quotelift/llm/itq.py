@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelift.llm.common import materialize
+from quotelift.llm.common import by_rows, materialize
 from quotelift.llm.components import components
 from quotelift.llm.vectors import bounded_sample, dimension, matrix, usable
 
@@ -72,7 +72,9 @@ def links(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataF
     own = own.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").distinct()
     same = own.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"))
     nodes = materialize(same, "vectors")
-    entries = own.join(nodes.select("embedding", "node"), "embedding").select("vec_id", "node")
+    row_bytes = 64 + 8 * dims
+    one = by_rows(nodes.select("embedding", "node"), nodes.count(), row_bytes)
+    entries = own.join(one, "embedding").select("vec_id", "node")
     # an id with several vectors keeps all of them under its own number only once
     nodes = nodes.dropDuplicates(["node"])
     rows = nodes.count()
@@ -114,6 +116,8 @@ def links(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataF
         for t in range(total - 1)
     ]
     close = (F.col("a") < F.col("b")) & (reduce(lambda p, q: p + q, differ) <= most)
+    # both sides are the codes many times over
+    b = by_rows(b, rows * total * (length + 1), 48 + 8 * rotations)
     met = a.join(b, ["t", "key"]).filter(reduce(lambda p, q: p & q, first, close)).select("a", "b")
     pairs = materialize(met, "code-pairs")
 
@@ -123,8 +127,8 @@ def links(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataF
             cos = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
             yield pdf.loc[cos >= threshold, ["a", "b", "n_a", "n_b"]]
 
-    side = nodes.select("node", "n", "embedding")
-    full = pairs.join(side.toDF("a", "n_a", "x"), "a").join(side.toDF("b", "n_b", "y"), "b")
+    side = by_rows(nodes.select("node", "n", "embedding"), rows, row_bytes)
+    full = by_rows(pairs, pairs.count()).join(side.toDF("a", "n_a", "x"), "a").join(side.toDF("b", "n_b", "y"), "b")
     return entries, materialize(full.mapInPandas(cosine, "a long, b long, n_a long, n_b long"), "vector-links")
 
 
@@ -144,7 +148,8 @@ def near_copies(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .agg(F.sum("n").alias("linked"))
     )
     same = entries.groupBy("node").agg(F.count("*").alias("n"))
-    comp = components(found)
+    linked = 2 * found.count()
+    counts, comp = by_rows(counts, linked), by_rows(components(found), linked)
     nodes = same.join(counts, "node", "left").join(comp, "node", "left")
     nodes = nodes.select(
         "node",

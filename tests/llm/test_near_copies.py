@@ -163,6 +163,25 @@ def test_links_of_vectors(spark, points):
     assert all(got[420 + 20 + i]["component_id"] == got[i]["component_id"] for i in range(5))
 
 
+def test_exploded_codes_are_not_broadcast(spark, points, monkeypatch):
+    """The files of the codes are below the threshold, their buckets and neighbours far above it."""
+    plans, write = {}, itq.materialize
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(itq, "materialize", noted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200k")
+    try:
+        found = itq.near_copies(vectors(spark, points)).agg({"n_links": "sum"}).first()[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plans["code-pairs"] and "BroadcastHashJoin" not in plans["code-pairs"]
+    assert found == itq.near_copies(vectors(spark, points)).agg({"n_links": "sum"}).first()[0]
+
+
 def test_vectors_of_nothing(spark):
     assert itq.near_copies(vectors(spark, [])).count() == 0
     got = itq.near_copies(vectors(spark, [], [*BAD, (None, [1.0] * 16), (1, [1.0] * 16), (1, [1.0] * 16), (2, [2.0] * 16)]))
