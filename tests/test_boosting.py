@@ -25,8 +25,9 @@ def vectors(spark):
 
 
 @pytest.mark.parametrize("weighted", [True, False])
-def test_trees_are_those_of_spark(vectors, weighted):
+def test_trees_are_those_of_spark(vectors, weighted, monkeypatch):
     """Without a sample nothing is drawn: both methods give the same trees."""
+    monkeypatch.setattr(boosting, "LEAST_ROWS", 0)
     settings = PLAIN | {"maxDepth": 4, "maxIter": 7, "stepSize": 0.2, "subsamplingRate": 1.0}
     if not weighted:
         del settings["weightCol"]
@@ -52,6 +53,7 @@ def test_fit_keeps_a_few_bytes_a_row(spark, vectors, monkeypatch):
         return out
 
     monkeypatch.setattr(boosting.Boost, "_pass", noted)
+    monkeypatch.setattr(boosting, "LEAST_ROWS", 0)
     training._gbt(training.Combo(3, 0.1), 7, "label", 1).fit(many)
     assert held and 0 < max(held) < 2 * 40 * 700 * 60
     assert not set(info()) - before
